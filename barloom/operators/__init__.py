@@ -1 +1 @@
-"""barloom.operators"""
+"""Operators on market tables: functions from DataFrame to DataFrame."""

@@ -98,7 +98,7 @@ def main() -> int:
         bad += ok is False
         mark = {True: "ok  ", False: "FAIL", None: "rows"}[ok]
         print(f"{mark} {name:42s} rows={n:7d} spark={s:6.2f}s duck={dsec:6.2f}s {note}", flush=True)
-    print("failures:", bad)
+    print("failures:", bad, flush=True)
     spark.stop()
     return bad
 
