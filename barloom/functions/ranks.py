@@ -60,30 +60,32 @@ def running_totals(
 def add_rank(
     df: DataFrame,
     value: str,
-    out: str,
+    outputs: dict[str, str],
     by: Sequence[str] = (),
     descending: bool = False,
-    ties: str = "min",
-    pct: bool = False,
 ) -> DataFrame:
-    """Add the rank of ``value`` (ties ``min`` or ``average``), optionally in percent of non-nulls."""
-    keys = list(by)
-    constant = not keys
-    work = df.withColumn("_all", F.lit(0)) if constant else df
-    keys = keys or ["_all"]
+    """Add ranks of ``value`` among the non-null rows of ``by``.
+
+    ``outputs`` maps a kind to a column name; kinds are ``min``, ``average`` (treatment of
+    ties) and ``min_pct``, ``average_pct`` (the same in percent of the group). All kinds
+    come from one pass.
+    """
+    keys = list(by) or ["_all"]
+    work = df if by else df.withColumn("_all", F.lit(0))
     signed = -F.col(value) if descending else F.col(value)
     work = work.withColumn("_v", signed.cast("double"))
     totals = running_totals(work, keys, "_v", {"_cnt": F.lit(1)})
-    size = (
-        totals.groupBy(*keys)
-        .agg(F.sum("_cnt").alias("_size"))
-    )
-    rank = F.col("_cnt_below") + (F.lit(1.0) if ties == "min" else (F.col("_cnt") + 1) / 2.0)
+    size = totals.groupBy(*keys).agg(F.sum("_cnt").alias("_size"))
+    kinds = {
+        "min": F.col("_cnt_below") + 1.0,
+        "average": F.col("_cnt_below") + (F.col("_cnt") + 1) / 2.0,
+    }
+    kinds |= {f"{k}_pct": c / F.col("_size") * 100.0 for k, c in list(kinds.items())}
     ranked = totals.join(size, keys).select(
-        *keys, "_v", (rank / F.col("_size") * 100.0 if pct else rank).alias(out)
+        *keys, "_v", *[kinds[kind].alias(name) for kind, name in outputs.items()]
     )
     joined = work.join(ranked, [*keys, "_v"], "left").drop("_v")
-    return joined.drop("_all") if constant else joined
+    return joined if by else joined.drop("_all")
 
 
 def auc_by(df: DataFrame, by: Sequence[str], score: str, label: str) -> DataFrame:

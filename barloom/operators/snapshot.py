@@ -179,8 +179,7 @@ def with_ratios(tech: DataFrame, lot: int = 100) -> DataFrame:
 
 def with_liquidity_rank(tech: DataFrame) -> DataFrame:
     """Rank by traded value, descending with minimum ties, and the same in percent."""
-    tech = add_rank(tech, "adtv", "adtv_rank", descending=True)
-    return add_rank(tech, "adtv", "adtv_rank_pct", descending=True, pct=True)
+    return add_rank(tech, "adtv", {"min": "adtv_rank", "min_pct": "adtv_rank_pct"}, descending=True)
 
 
 def with_signals(tech: DataFrame, min_adv: float = 10_000.0) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.plans.registry import view
+from barloom.session import cut_lineage
 from barloom.sources.bars import build_bars, index_bars
 
 PRICE_UNIT = 1_000_000.0
@@ -54,6 +55,11 @@ def bars(spark: SparkSession, d: str) -> DataFrame:
     return build_bars(trades(spark, d), ["ticker", "sector"], F.col("date"), "date", ["ok", "ln", "price"])
 
 
+def bars_table(spark: SparkSession, d: str) -> DataFrame:
+    """Bars written once, for plans that use them in more than one branch."""
+    return cut_lineage(bars(spark, d))
+
+
 def index(spark: SparkSession, d: str) -> DataFrame:
     return index_bars(bars(spark, d))
 

@@ -10,6 +10,7 @@ from barloom.operators import snapshot as S
 from barloom.operators import universe as U
 from barloom.plans import inputs as I
 from barloom.plans.registry import query, view
+from barloom.session import cut_lineage
 from barloom.sources import bars as B
 
 
@@ -48,12 +49,17 @@ def live(spark, d):
 
 
 def snap(spark, d):
-    return S.snapshot(I.bars(spark, d), I.index(spark, d), live(spark, d), I.PRICE_UNIT)
+    bars = I.bars_table(spark, d)
+    return S.snapshot(bars, B.index_bars(bars), live(spark, d), I.PRICE_UNIT)
+
+
+def technical(spark, d):
+    return S.technical(cut_lineage(snap(spark, d)))
 
 
 def dataset(spark, d):
     """Snapshot with bands, grid, ratios and signals."""
-    return S.with_signals(S.with_ratios(S.with_grid(S.with_bands(S.technical(snap(spark, d))))))
+    return S.with_signals(S.with_ratios(S.with_grid(S.with_bands(technical(spark, d)))))
 
 
 def ema_sql(x: str, a: float) -> str:
@@ -161,11 +167,11 @@ def technical_snapshot(spark, d):
     from v_tech""",
 )
 def technical_contract(spark, d):
-    return rounded(S.technical(snap(spark, d)))
+    return rounded(technical(spark, d))
 
 
 def _tech(spark, d):
-    return S.with_bands(S.technical(snap(spark, d)))
+    return S.with_bands(technical(spark, d))
 
 
 @query(
@@ -227,7 +233,7 @@ def tick_grid(spark, d):
     """,
 )
 def snapshot_ratios(spark, d):
-    out = S.with_liquidity_rank(S.with_ratios(_tech(spark, d)))
+    out = S.with_liquidity_rank(cut_lineage(S.with_ratios(_tech(spark, d))))
     cols = (
         "ticker atr_pct adtv lot_size lot_notional lot_atr slippage_pct pos52 above_sma20 above_sma50 above_sma200 "
         "dist_ref_pct dist_sma20_pct dist_sma50_pct floor_valid ceil_valid adtv_rank adtv_rank_pct"
@@ -375,18 +381,18 @@ _SERIES = """
       select ticker, rn, cast(x as double) s from src where rn = 1
       union all
       select f.ticker, f.rn + 1, f.s * (1 - {a!r}) + b.x * {a!r} from fold f join src b on b.ticker = f.ticker and b.rn = f.rn + 1)
-    select ticker, date, round(s, 4) {out} from fold join src using (ticker, rn)
+    select ticker, date, round(s, 1) {out} from fold join src using (ticker, rn)
 """
 
 
 @query("ema_series", _SERIES.format(x="close", src="v_bars", a=2 / 21, out="ema20"))
 def ema_series(spark, d):
-    return SM.with_ema(I.bars(spark, d), {"ema20": 20}).select("ticker", "date", F.round("ema20", 4).alias("ema20"))
+    return SM.with_ema(I.bars(spark, d), {"ema20": 20}).select("ticker", "date", F.round("ema20", 1).alias("ema20"))
 
 
 @query("atr_series", _SERIES.format(x="tr", src="v_ret", a=1 / 14, out="atr14"))
 def atr_series(spark, d):
-    return SM.with_atr(I.bars(spark, d), 14, "atr14").select("ticker", "date", F.round("atr14", 4).alias("atr14"))
+    return SM.with_atr(I.bars(spark, d), 14, "atr14").select("ticker", "date", F.round("atr14", 1).alias("atr14"))
 
 
 @query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +16,6 @@ def build_session(app: str = "barloom", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.ansi.enabled", "true")
     )
     if master:
         builder = builder.master(master)
@@ -24,15 +24,22 @@ def build_session(app: str = "barloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder the cluster names in ``spark.checkpoint.dir``; a scratch folder only where unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="barloom-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder named by ``spark.checkpoint.dir``.
+    """Write the rows once to the shared folder and read them back.
 
-    Only where neither the session nor the context names a folder (local tests) a
-    scratch folder is set.
+    For tables used by several branches of one plan: the source is scanned once, later
+    branches read only the columns they need, sizes are known to the optimizer, and a lost
+    executor does not force the upstream work again.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="barloom-ckpt-"))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/barloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
