@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barloom.functions import grid as G
 from barloom.functions.frames import clamp, non_zero, ordered, ratio, ratio_pct, return_pct
 from barloom.functions.ranks import add_rank
+from barloom.operators.panel import INDEX_KEY, one_series
 from barloom.functions.smoothing import with_atr, with_ema, with_macd, with_rsi
 
 PRICE_LEVELS = (
@@ -24,9 +25,8 @@ def snapshot(bars: DataFrame, index: DataFrame, live: DataFrame | None = None, u
     whole-number prices; ``unit`` of them make one price unit. All steps after the join with
     the index keep the partitioning by instrument: one shuffle of the bars.
     """
-    index_ret = index.select(
-        "date", (F.col("close") / non_zero(F.lag("close").over(Window.orderBy("date"))) - 1).alias("_iret")
-    )
+    before = F.lag("close").over(ordered(INDEX_KEY))
+    index_ret = one_series(index).select("date", (F.col("close") / non_zero(before) - 1).alias("_iret"))
     w = ordered("ticker")
     rows = bars.join(index_ret, "date", "left").withColumn(
         "_ret", F.col("close") / non_zero(F.lag("close").over(w)) - 1

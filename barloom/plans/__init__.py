@@ -1,4 +1,4 @@
 """Queries over the driver's tables, grouped by theme."""
 
-from barloom.plans import inputs, ingest, snapshot  # noqa: F401
+from barloom.plans import inputs, ingest, snapshot, panel  # noqa: F401
 from barloom.plans.registry import ORACLES, QUERIES  # noqa: F401
