@@ -88,12 +88,22 @@ def forward_min(x: ColumnLike, w: WindowSpec, n: int, start: int = 1) -> Column:
     return F.min(col(x)).over(w.rowsBetween(start, n))
 
 
+def correlation(x: ColumnLike, y: ColumnLike, frame: WindowSpec | None = None) -> Column:
+    """Correlation of the complete pairs; null (not an error) when either side does not vary."""
+    x, y = col(x), col(y)
+    both = x.isNotNull() & y.isNotNull()
+    parts = [F.covar_samp(x, y), F.stddev_samp(F.when(both, x)), F.stddev_samp(F.when(both, y))]
+    if frame is not None:
+        parts = [p.over(frame) for p in parts]
+    return parts[0] / non_zero(parts[1] * parts[2])
+
+
 def paired_corr(x: ColumnLike, y: ColumnLike, w: WindowSpec, n: int) -> Column:
     """Correlation over a full frame of pairs."""
     x, y = col(x), col(y)
     frame = w.rowsBetween(-(n - 1), 0)
     both = x.isNotNull() & y.isNotNull()
-    return F.when(F.count(F.when(both, 1)).over(frame) == n, F.corr(x, y).over(frame))
+    return F.when(F.count(F.when(both, 1)).over(frame) == n, correlation(x, y, frame))
 
 
 def paired_beta(x: ColumnLike, y: ColumnLike, w: WindowSpec, n: int) -> Column:

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.session import cut_lineage
+
 # Buckets per e-fold of the value; about 0.1 % relative width.
 _STEPS = 1024
 
@@ -68,12 +70,13 @@ def add_rank(
 
     ``outputs`` maps a kind to a column name; kinds are ``min``, ``average`` (treatment of
     ties) and ``min_pct``, ``average_pct`` (the same in percent of the group). All kinds
-    come from one pass.
+    come from one pass. The input is written once first: ranks are joined back by value, and
+    a floating-point sum computed twice may differ in its last digit.
     """
     keys = list(by) or ["_all"]
     work = df if by else df.withColumn("_all", F.lit(0))
     signed = -F.col(value) if descending else F.col(value)
-    work = work.withColumn("_v", signed.cast("double"))
+    work = cut_lineage(work.withColumn("_v", signed.cast("double")))
     totals = running_totals(work, keys, "_v", {"_cnt": F.lit(1)})
     size = totals.groupBy(*keys).agg(F.sum("_cnt").alias("_size"))
     kinds = {

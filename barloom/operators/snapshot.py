@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions import grid as G
-from barloom.functions.frames import clamp, non_zero, ordered, ratio, ratio_pct, return_pct
+from barloom.functions.frames import correlation, clamp, non_zero, ordered, ratio, ratio_pct, return_pct
 from barloom.functions.ranks import add_rank
 from barloom.operators.panel import INDEX_KEY, one_series
 from barloom.functions.smoothing import with_atr, with_ema, with_macd, with_rsi
@@ -63,7 +63,7 @@ def snapshot(bars: DataFrame, index: DataFrame, live: DataFrame | None = None, u
         F.stddev_samp(F.when(F.col("_age") < 20, F.col("_ret"))).alias("_v20"),
         F.stddev_samp(F.when(F.col("_age") < 60, F.col("_ret"))).alias("_v60"),
         beta.alias("beta"),
-        F.when(F.var_samp(i_ret) > 0, F.corr("_ret", "_iret")).alias("corr"),
+        F.when(F.var_samp(i_ret) > 0, correlation("_ret", "_iret")).alias("corr"),
         *[at_age("close", n).alias(f"_c{n}") for n in (5, 20, 60)],
         tail(F.avg, "volume", 20).alias("adv20"),
         F.max(F.when(F.col("_age") < 252, F.col("high"))).alias("high252"),

@@ -337,7 +337,7 @@ def market_consensus(spark, d):
 
 @query(
     "pick_replay",
-    f"""select date, ticker, sector, algorithm, gate, pick_rank, {rd('score fwd5 fwd10 excess5 excess10 dd10'.split())} from v_replay""",
+    f"""select date, ticker, sector, algorithm, gate, pick_rank, round(round(score, 9), 6) score, {rd('fwd5 fwd10 excess5 excess10 dd10'.split())} from v_replay""",
 )
 def pick_replay(spark, d):
     _, scores = scored(spark, d)
@@ -373,7 +373,7 @@ def current_picks(panel, scores):
 
 @query(
     "current_picks",
-    f"select date, ticker, sector, algorithm, gate, pick_rank, {rd('score rel20 rel60 dist20 dist50 sector_breadth20 vol_ratio20'.split())} from v_now",
+    f"select date, ticker, sector, algorithm, gate, pick_rank, round(round(score, 9), 6) score, {rd('rel20 rel60 dist20 dist50 sector_breadth20 vol_ratio20'.split())} from v_now",
 )
 def current_picks_query(spark, d):
     panel, scores = scored(spark, d)
@@ -391,7 +391,7 @@ def current_picks_query(spark, d):
     with h as (select ticker, algorithm, count(*) past_picks, avg(fwd5) * 100 past_fwd5, avg(fwd10) * 100 past_fwd10, avg(excess10) * 100 past_excess10,
       avg(case when fwd10 > 0 then 1.0 else 0 end) * 100 past_hit10, max(date) last_pick_date from v_replay group by 1, 2),
     r as (select unnest(['trend_leader', 'breakout_confirmation', 'recovery_strength', 'sector_rotation', 'residual_momentum']) algorithm)
-    select i.ticker, i.sector, r.algorithm, round(n.score, 6) score, n.pick_rank, n.score is not null active,
+    select i.ticker, i.sector, r.algorithm, round(round(n.score, 9), 6) score, n.pick_rank, n.score is not null active,
       coalesce(past_picks, 0) past_picks, {rd('past_fwd5 past_fwd10 past_excess10 past_hit10'.split())}, last_pick_date
     from v_inst i, r left join v_now n on n.ticker = i.ticker and n.algorithm = r.algorithm
       left join h on h.ticker = i.ticker and h.algorithm = r.algorithm
@@ -470,6 +470,6 @@ def outperform_sample(spark, d):
 def close_cells(spark, d):
     """Every (date, instrument) cell, missing bars as null: the long form of the wide matrix."""
     bars = I.bars_table(spark, d).select("date", "ticker", "close")
-    names = bars.agg(F.sort_array(F.collect_set("ticker")).alias("names")).scalar()
-    cells = bars.select("date").distinct().select("date", F.explode(names).alias("ticker"))
+    calendar = bars.agg(F.collect_set("date").alias("dates")).scalar()
+    cells = bars.select("ticker").distinct().select("ticker", F.explode(calendar).alias("date"))
     return cells.join(bars, ["date", "ticker"], "left")
