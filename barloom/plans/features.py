@@ -312,7 +312,7 @@ def excursion_targets(spark, d):
 
 @query(
     "cycle_targets",
-    f"select ticker, date, horizon, cast(horizon // 21 as int) "months", peak_day, {rd(['peak', 'drawdown'])} from ("
+    f"select ticker, date, horizon, cast(horizon // 21 as int) \"months\", peak_day, {rd(['peak', 'drawdown'])} from ("
     + " union all ".join(_excursion_sql(21 * m, 3) for m in range(1, 7))
     + ")",
 )
