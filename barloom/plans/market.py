@@ -160,12 +160,12 @@ def flow_horizon_sums(spark, d):
     return flow_layers(spark, d)
 
 
-def members(spark, d):
+def members(spark, d, bars=None):
     """Snapshot rows with relative strength, co-movement and flows: input of the sector tables."""
-    bars = I.bars_table(spark, d)
+    bars = bars if bars is not None else I.bars_table(spark, d)
     index = B.index_bars(bars)
     snap = cut_lineage(S.snapshot(bars, index, SN.live(spark, d), I.PRICE_UNIT))
-    tech = S.with_ratios(S.with_bands(S.technical(snap)))
+    tech = S.with_ratios(S.with_grid(S.with_bands(S.technical(snap))))
     moves = M.comovement(bars, index)
     return M.enrich(M.relative_strength(tech, index), moves, flow_layers(spark, d))
 

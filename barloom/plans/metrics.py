@@ -93,8 +93,9 @@ view("v_om", _metrics_sql("ticker, model, horizon"))
 MET = "open_mae high_mae low_mae close_mae range_mae upside_miss downside_miss hit_pct mean_mae next_session_score range_score".split()
 
 
-def ohlc_forecasts(spark, d):
-    rows = T.horizon_targets(I.bars_table(spark, d)).filter(F.col("horizon").isin(*HORIZONS))
+def ohlc_forecasts(spark, d, bars=None):
+    bars = bars if bars is not None else I.bars_table(spark, d)
+    rows = T.horizon_targets(bars).filter(F.col("horizon").isin(*HORIZONS))
     return ME.attach_actuals(ME.reconstruct(forecasts(rows, OHLC, "target_")))
 
 
@@ -149,9 +150,9 @@ view(
 )
 
 
-def current_forecasts(spark, d):
+def current_forecasts(spark, d, rows=None):
     """Forecast of the best model per (instrument, horizon) at the last date."""
-    rows = cut_lineage(ohlc_forecasts(spark, d))
+    rows = rows if rows is not None else cut_lineage(ohlc_forecasts(spark, d))
     m = ME.ohlc_metrics(rows.filter("actual_close is not null and pred_close is not null"), ["ticker", "model", "horizon"])
     best = ME.first_per_key(m, ["ticker", "horizon"], best_order("range_score")).select("ticker", "horizon", "model", "range_score")
     latest = ME.first_per_key(rows, ["ticker", "horizon", "model"], [F.desc("date")])
@@ -231,8 +232,9 @@ view(
 TM = "peak_mae peak_day_mae drawdown_mae close_ret_mae trade_mae trade_hit_pct timing_score cycle_score".split()
 
 
-def timing_forecasts(spark, d):
-    rows = T.excursion_samples(I.bars_table(spark, d), TIMING_H)
+def timing_forecasts(spark, d, bars=None):
+    bars = bars if bars is not None else I.bars_table(spark, d)
+    rows = T.excursion_samples(bars, TIMING_H)
     return forecasts(rows, EXC, "", TIMING_H)
 
 
@@ -242,8 +244,8 @@ def timing_metrics(spark, d):
     return rounded(ME.timing_metrics(rows, ["ticker", "model", "horizon"]))
 
 
-def current_timing(spark, d):
-    rows = cut_lineage(timing_forecasts(spark, d))
+def current_timing(spark, d, rows=None):
+    rows = rows if rows is not None else cut_lineage(timing_forecasts(spark, d))
     m = ME.timing_metrics(rows.filter("close_ret is not null and pred_close_ret is not null"), ["ticker", "model", "horizon"])
     order = [F.asc(c) for c in ("timing_score", "trade_mae", "peak_mae", "drawdown_mae", "close_ret_mae")] + [F.desc("trade_hit_pct"), F.asc("model")]
     best = ME.first_per_key(m, ["ticker", "horizon"], order)
@@ -493,9 +495,9 @@ view(
 )
 
 
-def blended(spark, d):
+def blended(spark, d, rows=None):
     """Range forecasts of the two variants blended by horizon."""
-    rows = cut_lineage(ohlc_forecasts(spark, d))
+    rows = rows if rows is not None else cut_lineage(ohlc_forecasts(spark, d))
     latest = ME.first_per_key(rows, ["ticker", "horizon", "model"], [F.desc("date")]).select(
         "ticker", "horizon", "model", F.col("pred_low_price").alias("low"), F.col("pred_close_price").alias("mid"), F.col("pred_high_price").alias("high")
     )
