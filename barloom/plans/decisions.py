@@ -239,7 +239,7 @@ view(
     "v_cand0",
     f"""
     select m.ticker, m.sector, m.last, m.rsi14, m.dist_sma20_pct dist, m.rel20, m.rel60, m.adv20, least(greatest((m.last - low252) / nullif(high252 - low252, 0), 0), 1) pos52,
-      sp.p5 sector_positive5, p.robust_score, p.all_score, t.best_edge, t.edge10, l.forecast_ret, e.entry_score, e.limit_price, greatest(e.limit_price - 2 * m.tick, 0) zl, e.limit_price zh,
+      sp.p5 sector_positive5, p.robust_score, p.all_score, t.best_edge, t.edge10, l.forecast_ret, e.entry_score, e.limit_price, case when e.limit_price is not null then greatest(e.limit_price - 2 * m.tick, 0) end zl, e.limit_price zh,
       l.below1, l.below2, l.below3, o.overlay_score, m.foreign_value_20d / 1e12 foreign_bn, crowded, {BUDGET} / (m.last * 1000 * m.adv20) * 100 pct_adv
     from v_members m join (select sector, avg(case when ret5 > 0 then 1.0 else 0 end) * 100 p5 from v_members group by 1) sp using (sector)
       left join v_lbase l using (ticker) left join v_entry e using (ticker) left join v_pbest p using (ticker) left join v_tbest t using (ticker) left join v_ovscore o using (ticker), v_crowd
