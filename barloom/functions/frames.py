@@ -49,6 +49,20 @@ def full_max(x: ColumnLike, w: WindowSpec, n: int) -> Column:
     return full_frame(F.max, x, w, n)
 
 
+def full_quantile(x: ColumnLike, w: WindowSpec, n: int, q: float, shift: int = 0) -> Column:
+    """Interpolated quantile over a full frame.
+
+    The frame holds exactly ``n`` values, so the two neighbours of the quantile sit at fixed
+    places of the sorted frame; one sort per row, shared by all quantiles of the column.
+    """
+    place = (n - 1) * q
+    low = int(place)
+    values = F.sort_array(F.collect_list(col(x)).over(w.rowsBetween(-(n - 1) - shift, -shift)))
+    below = F.get(values, F.lit(low))
+    above = F.get(values, F.lit(min(low + 1, n - 1)))
+    return F.when(F.size(values) == n, below + (above - below) * (place - low))
+
+
 def non_zero(x: ColumnLike) -> Column:
     return F.nullif(col(x), F.lit(0))
 
@@ -120,14 +134,14 @@ def adaptive_threshold(
 ) -> Column:
     """max(rolling quantile, rolling std times ``spread``) of |x| over the n rows before this one."""
     size = F.abs(col(x))
-    quantile = full_frame(lambda c: F.percentile(c, q), size, w, n, shift=1)
+    quantile = full_quantile(size, w, n, q, shift=1)
     scatter = full_frame(F.stddev_samp, size, w, n, shift=1) * spread
     limit = F.greatest(quantile, scatter)
     return F.when(limit.isNotNull(), F.greatest(limit, F.lit(floor)))
 
 
 def lower_quantile_threshold(x: ColumnLike, w: WindowSpec, n: int, q: float, floor: float) -> Column:
-    limit = full_frame(lambda c: F.percentile(c, q), x, w, n, shift=1)
+    limit = full_quantile(x, w, n, q, shift=1)
     return F.when(limit.isNotNull(), F.greatest(limit, F.lit(floor)))
 
 
