@@ -54,7 +54,7 @@ def latest_vs_sma20(spark, d):
 def supplier_bars(spark, d):
     """Bars at the finest instrument grain, for wide universes."""
     return B.build_bars(
-        I.trades(spark, d), ["l_suppkey"], F.col("date"), "date", ["ok", "ln", "price"]
+        I.trades(spark, d), ["l_suppkey"], F.col("date"), "date", ["seq"]
     ).drop("value")
 
 
@@ -83,7 +83,7 @@ def intraday_bars(spark, d):
     """,
 )
 def latest_tick_snapshot(spark, d):
-    return B.latest_snapshot(I.ticks(spark, d), "ticker", "ts", "price", "size", ["ts", "event_id"])
+    return B.latest_snapshot(I.ticks(spark, d), "ticker", "ts", "price", "size", ["seq"])
 
 
 @query(
@@ -103,7 +103,7 @@ def bar_upsert_keep_last(spark, d):
     """An early batch without returned lines, overwritten by the corrected batch of later years."""
     fields = ["ticker", "date", "open", "close", "volume"]
     trades = I.trades(spark, d)
-    early = B.build_bars(trades.filter("flag <> 'R'"), ["ticker"], F.col("date"), "date", ["ok", "ln", "price"])
+    early = B.build_bars(trades.filter("flag <> 'R'"), ["ticker"], F.col("date"), "date", ["seq"])
     late = I.bars(spark, d).filter("date >= date '1998-01-01'")
     stacked = early.select(*fields, F.lit(1).alias("batch")).unionByName(
         late.select(*fields, F.lit(2).alias("batch"))

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from barloom.plans.registry import view
 from barloom.session import cut_lineage
-from barloom.sources.bars import build_bars, index_bars
+from barloom.sources.bars import build_bars, index_bars, packed_sequence
 
 PRICE_UNIT = 1_000_000.0
+MICROS = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', cast(ts as timestamp_ntz))"
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -46,13 +47,14 @@ def trades(spark: SparkSession, d: str) -> DataFrame:
     return (
         lines.join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(instruments(spark, d), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("ticker", "sector", "n_nationkey", "l_suppkey", "ok", "ln", "price", "size", "flag", "date")
+        .withColumn("seq", packed_sequence(("ok", 18), ("ln", 4), ("price", 14)))
+        .select("ticker", "sector", "n_nationkey", "l_suppkey", "ok", "ln", "price", "size", "flag", "date", "seq")
     )
 
 
 def bars(spark: SparkSession, d: str) -> DataFrame:
     """Daily bars per instrument (ticker, sector, date, OHLC, volume, value)."""
-    return build_bars(trades(spark, d), ["ticker", "sector"], F.col("date"), "date", ["ok", "ln", "price"])
+    return build_bars(trades(spark, d), ["ticker", "sector"], F.col("date"), "date", ["seq"])
 
 
 def bars_table(spark: SparkSession, d: str) -> DataFrame:
@@ -76,12 +78,13 @@ def ticks(spark: SparkSession, d: str) -> DataFrame:
         "event_id",
         F.expr("cast(round(value * 100) as bigint)").alias("price"),
         F.expr("user_id % 10 + 1").alias("size"),
+        packed_sequence((F.expr(MICROS), 18), ("event_id", 18)).alias("seq"),
     )
 
 
 def bars_5m(spark: SparkSession, d: str) -> DataFrame:
     start = F.date_trunc("hour", "ts") + F.expr("make_dt_interval(0, 0, (minute(ts) div 5) * 5, 0)")
-    out = build_bars(ticks(spark, d), ["ticker"], start.cast("timestamp_ntz"), "bar_ts", ["ts", "event_id"])
+    out = build_bars(ticks(spark, d), ["ticker"], start.cast("timestamp_ntz"), "bar_ts", ["seq"])
     return out.withColumn("trade_date", F.to_date("bar_ts"))
 
 

@@ -44,7 +44,7 @@ def r(*names: str, digits: int = 6) -> str:
 def live(spark, d):
     """Latest trade that was not returned, as the live quote of an instrument."""
     kept = I.trades(spark, d).filter("flag = 'N'").withColumn("at", F.col("date").cast("timestamp_ntz"))
-    last = B.latest_snapshot(kept, "ticker", "at", "price", "size", ["date", "ok", "ln", "price"])
+    last = B.latest_snapshot(kept, "ticker", "at", "price", "size", ["seq"])
     return last.select("ticker", (F.col("last_price") / I.PRICE_UNIT).alias("price"), "day_volume", "day_value")
 
 

@@ -8,6 +8,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def packed_sequence(*parts: tuple[Column | str, int]) -> Column:
+    """Non-negative whole numbers as one decimal that orders like the tuple.
+
+    Each part is (column, digits it may take); 38 digits in all.
+    """
+    total = sum(d for _, d in parts)
+    if total > 38:
+        raise ValueError("a packed sequence holds at most 38 digits")
+    out, rest = None, total
+    for column, digits in parts:
+        rest -= digits
+        column = F.col(column) if isinstance(column, str) else column
+        scaled = (column.cast(f"decimal({digits},0)") * F.lit(10**rest).cast(f"decimal({rest + 1},0)")) if rest else column.cast(f"decimal({digits},0)")
+        out = scaled if out is None else out + scaled
+    return out.cast("decimal(38,0)")
+
+
 def build_bars(
     trades: DataFrame,
     keys: Sequence[str],
@@ -20,9 +37,11 @@ def build_bars(
     """OHLCV bars per ``keys`` and bucket.
 
     Open and close follow the total order ``sequence``. All aggregates combine on the map
-    side, so the shuffle carries partial bars and a hot instrument costs nothing extra.
+    side, so the shuffle carries partial bars and a hot instrument costs nothing extra. One
+    packed number as sequence (see :func:`packed_sequence`) keeps the aggregation hashed;
+    several columns make Spark sort the trades first.
     """
-    at = F.struct(*sequence)
+    at = F.col(sequence[0]) if len(sequence) == 1 else F.struct(*sequence)
     return (
         trades.withColumn(bucket_name, bucket)
         .groupBy(*keys, bucket_name)
@@ -54,10 +73,11 @@ def index_bars(bars: DataFrame, weighted: bool = False) -> DataFrame:
 
 def latest_snapshot(ticks: DataFrame, key: str, at: str, price: str, size: str, sequence: Sequence[str]) -> DataFrame:
     """Last price and time per key, and the volume and value of that key's last day."""
+    order = F.col(sequence[0]) if len(sequence) == 1 else F.struct(*sequence)
     day = F.to_date(at)
     daily = ticks.groupBy(key, day.alias("day")).agg(
         F.max(at).alias("last_at"),
-        F.max_by(price, F.struct(*sequence)).alias("last_price"),
+        F.max_by(price, order).alias("last_price"),
         F.sum(size).alias("day_volume"),
         F.sum(F.col(price) * F.col(size)).alias("day_value"),
     )

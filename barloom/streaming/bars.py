@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.session import shared_folder
-from barloom.sources.bars import upsert_keep_last
+from barloom.sources.bars import packed_sequence, upsert_keep_last
 
 EVENTS = T.StructType(
     [
@@ -25,10 +25,8 @@ EVENTS = T.StructType(
 
 
 # Event time must be an instant; wall-clock times are read as UTC whatever the session zone.
-_INSTANT = (
-    "timestampadd(MICROSECOND, timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts), "
-    "timestamp'1970-01-01 00:00:00Z')"
-)
+_MICROS = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"
+_INSTANT = f"timestampadd(MICROSECOND, {_MICROS}, timestamp'1970-01-01 00:00:00Z')"
 _WALL_CLOCK = "timestampadd(MICROSECOND, unix_micros(window.start), timestamp_ntz'1970-01-01 00:00:00')"
 
 
@@ -44,6 +42,7 @@ def read_ticks(spark: SparkSession, folder: str, pattern: str = "*.parquet", fil
             "ts",
             F.expr(_INSTANT).alias("at"),
             "event_id",
+            packed_sequence((F.expr(_MICROS), 18), ("event_id", 18)).alias("seq"),
             F.expr("cast(round(value * 100) as bigint)").alias("price"),
             F.expr("user_id % 10 + 1").alias("size"),
         )
@@ -54,7 +53,7 @@ def read_ticks(spark: SparkSession, folder: str, pattern: str = "*.parquet", fil
 
 def windowed_bars(ticks: DataFrame, width: str = "5 minutes") -> DataFrame:
     """Running OHLCV per instrument and tumbling window; state is dropped two days behind the newest tick."""
-    order = F.struct("ts", "event_id")
+    order = F.col("seq")
     return (
         ticks.groupBy("ticker", F.window("at", width))
         .agg(
