@@ -68,14 +68,14 @@ def attribute_symbols(html: Column, pattern: str) -> Column:
 def anchor_levels(html: Column, block: str = r"(?s)<nav>(.*?)</nav>") -> Column:
     """Trimmed anchor texts of the first matching block, in page order."""
     inside = F.regexp_extract(html, block, 1)
-    texts = F.transform(F.regexp_extract_all(inside, F.lit(r"<a [^>]*>([^<]*)</a>"), 1), F.trim)
+    texts = F.transform(F.regexp_extract_all(inside, F.lit(r"<a [^>]*>([^<]*)</a>"), 1), lambda t: F.trim(t))
     return F.filter(texts, lambda t: t != "")
 
 
 def label_value_map(html: Column, pattern: str) -> Column:
     """Map of label to value from a two-group pattern; the last value of a label stays."""
-    labels = F.transform(F.regexp_extract_all(html, F.lit(pattern), 1), F.trim)
-    values = F.transform(F.regexp_extract_all(html, F.lit(pattern), 2), F.trim)
+    labels = F.transform(F.regexp_extract_all(html, F.lit(pattern), 1), lambda t: F.trim(t))
+    values = F.transform(F.regexp_extract_all(html, F.lit(pattern), 2), lambda t: F.trim(t))
     last = F.filter(
         F.arrays_zip(F.sequence(F.lit(1), F.size(labels)).alias("i"), labels.alias("k"), values.alias("v")),
         lambda e: e["k"] != "",
@@ -98,3 +98,12 @@ def note_overrides(line: Column) -> dict[str, Column]:
         "target_price": found(r"(?i)target giá\s+`?(\d+(?:\.\d+)?)`?").try_cast("double"),
         "target_year": found(r"(?i)năm\s+(\d{4})").try_cast("int"),
     }
+
+
+def embedded_members(html: Column, script_id: str = "__NEXT_DATA__") -> Column:
+    """Symbols (else tickers) of the ``_collection`` list inside a page's embedded JSON, upper case."""
+    script = F.regexp_extract(html, rf'(?s)<script id="{script_id}"[^>]*>(.*?)</script>', 1)
+    listed = F.regexp_extract(script, r'(?s)"_collection"\s*:\s*(\[.*?\])', 1)
+    rows = F.from_json(listed, "array<struct<symbol:string,ticker:string>>")
+    names = F.transform(rows, lambda r: F.upper(F.trim(F.coalesce(r["symbol"], r["ticker"]))))
+    return F.filter(names, lambda n: n.isNotNull() & (n != ""))
