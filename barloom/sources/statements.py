@@ -70,26 +70,41 @@ def fundamental_ratios(df: DataFrame) -> DataFrame:
     )
 
 
-def asof_backward(left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str) -> DataFrame:
+def asof_backward(
+    left: DataFrame, right: DataFrame, key: str, left_at: str, right_at: str, block: str = "year"
+) -> DataFrame:
     """Each left row with the last right row at or before it.
 
-    Both sides are stacked and sorted once per key; the last right row seen so far is
-    carried forward, so no candidate pairs are formed.
+    Both sides are stacked and sorted; the last right row seen so far is carried forward, so
+    no candidate pairs are formed. Histories are cut into time blocks, so that a key with
+    very many rows spreads over tasks: the last right row of every block is passed on to the
+    later blocks (one row per key and block), and each block starts from it.
     """
     fields = [c for c in right.columns if c not in (key, right_at)]
     own = [c for c in left.columns if c not in (key, left_at)]
+    hit = F.struct(F.col(right_at).alias("_matched_at"), *fields)
+
+    def in_block(at: str) -> Column:
+        return F.trunc(at, block)
+
     marked_left = left.select(
-        key, F.col(left_at).alias("_at"), F.lit(1).alias("_side"), F.struct(*own).alias("_own") if own else F.lit(0).alias("_own")
+        key,
+        in_block(left_at).alias("_block"),
+        F.col(left_at).alias("_at"),
+        F.lit(2).alias("_side"),
+        F.struct(*own).alias("_own") if own else F.lit(0).alias("_own"),
     )
     marked_right = right.select(
-        key,
-        F.col(right_at).alias("_at"),
-        F.lit(0).alias("_side"),
-        F.struct(F.col(right_at).alias("_matched_at"), *fields).alias("_hit"),
+        key, in_block(right_at).alias("_block"), F.col(right_at).alias("_at"), F.lit(1).alias("_side"), hit.alias("_hit")
     )
-    stacked = marked_left.unionByName(marked_right, allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    carried = stacked.withColumn("_hit", F.last("_hit", ignorenulls=True).over(w)).filter("_side = 1")
+    closing = marked_right.groupBy(key, "_block").agg(F.max_by("_hit", "_at").alias("_hit"))
+    blocks = marked_left.select(key, "_block").distinct().join(closing, [key, "_block"], "full")
+    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    seeds = blocks.withColumn("_hit", F.last("_hit", ignorenulls=True).over(earlier)).filter("_hit is not null")
+    seeds = seeds.select(key, "_block", F.col("_hit._matched_at").alias("_at"), F.lit(0).alias("_side"), "_hit")
+    stacked = marked_left.unionByName(marked_right, allowMissingColumns=True).unionByName(seeds, allowMissingColumns=True)
+    w = Window.partitionBy(key, "_block").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    carried = stacked.withColumn("_hit", F.last("_hit", ignorenulls=True).over(w)).filter("_side = 2")
     return carried.select(
         key,
         F.col("_at").alias(left_at),
