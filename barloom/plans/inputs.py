@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.plans.registry import view
-from barloom.session import cut_lineage
+from barloom.session import written_once
 from barloom.sources.bars import build_bars, index_bars, packed_sequence
 
 PRICE_UNIT = 1_000_000.0
@@ -59,7 +59,7 @@ def bars(spark: SparkSession, d: str) -> DataFrame:
 
 def bars_table(spark: SparkSession, d: str) -> DataFrame:
     """Bars written once, for plans that use them in more than one branch."""
-    return cut_lineage(bars(spark, d))
+    return written_once(spark, d, "bars", lambda: bars(spark, d))
 
 
 def index(spark: SparkSession, d: str) -> DataFrame:

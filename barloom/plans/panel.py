@@ -9,7 +9,7 @@ from barloom.operators import panel as P
 from barloom.plans import inputs as I
 from barloom.plans.registry import query, view
 from barloom.plans.snapshot import rounded
-from barloom.session import cut_lineage
+from barloom.session import cut_lineage, written_once
 from barloom.sources import bars as B
 
 TOP_K = 3
@@ -224,7 +224,7 @@ def parts(spark, d):
     """(panel, sectors, market) over bars written once."""
     bars = I.bars_table(spark, d)
     idx = P.index_features(B.index_bars(bars))
-    panel = cut_lineage(P.instrument_panel(bars, idx))
+    panel = written_once(spark, d, "panel", lambda: P.instrument_panel(bars, idx))
     return panel, P.sector_panel(panel), idx
 
 

@@ -10,7 +10,7 @@ from barloom.operators import snapshot as S
 from barloom.operators import universe as U
 from barloom.plans import inputs as I
 from barloom.plans.registry import query, view
-from barloom.session import cut_lineage
+from barloom.session import written_once
 from barloom.sources import bars as B
 
 
@@ -54,7 +54,7 @@ def snap(spark, d):
 
 
 def technical(spark, d):
-    return S.technical(cut_lineage(snap(spark, d)))
+    return S.technical(written_once(spark, d, "snapshot", lambda: snap(spark, d)))
 
 
 def dataset(spark, d):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,3 +44,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/barloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_WRITTEN: dict[tuple, DataFrame] = {}
+
+
+def _state_of(spark: SparkSession, folder: str) -> tuple | None:
+    """Names, sizes and change times of a folder's files; None when they cannot be listed."""
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)
+    except Exception:
+        return None
+
+
+def written_once(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table written on first use in a session and read by later plans.
+
+    Written again as soon as any file of the source folder has changed.
+    """
+    state = _state_of(spark, source)
+    if state is None:
+        return cut_lineage(build())
+    key = (spark.sparkContext.applicationId, shared_folder(spark), source, name, state)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = cut_lineage(build())
+    return _WRITTEN[key]
