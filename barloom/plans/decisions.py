@@ -18,7 +18,7 @@ from barloom.plans.panel import rd
 from barloom.plans.registry import query, view
 from barloom.plans.snapshot import _down, _down_sel, clamp_sql, rounded, snap_sql
 from barloom.operators import trades as TR
-from barloom.session import cut_lineage, written_once
+from barloom.session import cut_lineage
 from barloom.sources import bars as B
 
 BUDGET = 50_000.0
@@ -90,17 +90,16 @@ view(
 def shared_inputs(spark, d):
     """(members, OHLC forecast rows, timing rows) over bars written once."""
     bars = I.bars_table(spark, d)
-    people = written_once(spark, d, "members", lambda: PM.members(spark, d, bars))
-    ohlc = written_once(spark, d, "ohlc_forecasts", lambda: PX.ohlc_forecasts(spark, d, bars))
-    timing = written_once(spark, d, "timing_forecasts", lambda: PX.timing_forecasts(spark, d, bars))
+    people = cut_lineage(PM.members(spark, d, bars))
+    ohlc = cut_lineage(PX.ohlc_forecasts(spark, d, bars))
+    timing = cut_lineage(PX.timing_forecasts(spark, d, bars))
     return bars, people, ohlc, timing
 
 
 def ladder_parts(spark, d, people, ohlc, timing_rows):
     """(base, ladder, current timing) from shared inputs."""
     closes = people.select("ticker", F.col("ref").alias("_c"))
-    now = written_once(
-        spark, d, "timing_now", lambda: PX.current_timing(spark, d, timing_rows).join(closes, "ticker")
+    now = cut_lineage(PX.current_timing(spark, d, timing_rows).join(closes, "ticker")
     )
     t1 = PX.current_forecasts(spark, d, ohlc).filter("horizon = 1").select(
         "ticker", (F.col("pred_low_price") / UNIT).alias("low_t1"), (F.col("pred_close_price") / UNIT).alias("close_t1"),
@@ -123,8 +122,8 @@ def ladder_parts(spark, d, people, ohlc, timing_rows):
     people_base = people.select(
         "ticker", "last", "atr14", "tick", "floor", "ceil", "floor_valid", "ceil_valid", "bid1", "below1", "below2", "below3"
     )
-    base = written_once(spark, d, "ladder_base", lambda: M.enrich(people_base, t1, lows, cycle))
-    ladder = written_once(spark, d, "ladder", lambda: D.entry_ladder(D.limit_candidates(base), base, prices))
+    base = cut_lineage(M.enrich(people_base, t1, lows, cycle))
+    ladder = cut_lineage(D.entry_ladder(D.limit_candidates(base), base, prices))
     return base, ladder, prices
 
 
@@ -305,7 +304,7 @@ def candidate_watchlist(spark, d):
     """Scores and decisions over snapshot, playbook, timing, forecasts, ladder and overlays."""
     bars, people, ohlc, timing = shared_inputs(spark, d)
     base, ladder, prices = ladder_parts(spark, d, people, ohlc, timing)
-    indicators = written_once(spark, d, "playbook_indicators", lambda: TR.playbook_indicators(bars))
+    indicators = cut_lineage(TR.playbook_indicators(bars))
     configs = TR.catalogue_table(spark)
     labels = TR.label_trades(indicators, configs)
     scores = TR.playbook_scores(TR.trade_metrics(TR.non_overlapping(labels)), people.select("ticker"), configs)

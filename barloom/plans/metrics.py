@@ -15,7 +15,7 @@ from barloom.plans import inputs as I
 from barloom.plans.panel import rd
 from barloom.plans.registry import query, view
 from barloom.plans.snapshot import rounded
-from barloom.session import cut_lineage, written_once
+from barloom.session import cut_lineage
 
 HORIZONS = (1, 5, 10)
 OHLC = ("open", "close", "upper", "lower")
@@ -100,7 +100,7 @@ def ohlc_forecasts(spark, d, bars=None):
 
 
 def evaluated(spark, d):
-    rows = written_once(spark, d, "ohlc_forecasts", lambda: ohlc_forecasts(spark, d))
+    rows = cut_lineage(ohlc_forecasts(spark, d))
     return rows.filter("actual_close is not null and pred_close is not null")
 
 
@@ -153,7 +153,7 @@ view(
 
 def current_forecasts(spark, d, rows=None):
     """Forecast of the best model per (instrument, horizon) at the last date."""
-    rows = rows if rows is not None else written_once(spark, d, "ohlc_forecasts", lambda: ohlc_forecasts(spark, d))
+    rows = rows if rows is not None else cut_lineage(ohlc_forecasts(spark, d))
     m = ME.ohlc_metrics(rows.filter("actual_close is not null and pred_close is not null"), ["ticker", "model", "horizon"])
     best = ME.first_per_key(m, ["ticker", "horizon"], best_order("range_score")).select("ticker", "horizon", "model", "range_score")
     latest = ME.first_per_key(rows, ["ticker", "horizon", "model"], [F.desc("date")])
@@ -241,12 +241,12 @@ def timing_forecasts(spark, d, bars=None):
 
 @query("timing_metrics", f"select ticker, model, horizon, eval_rows, {rd(TM)} from v_tm")
 def timing_metrics(spark, d):
-    rows = written_once(spark, d, "timing_forecasts", lambda: timing_forecasts(spark, d)).filter("close_ret is not null and pred_close_ret is not null")
+    rows = cut_lineage(timing_forecasts(spark, d)).filter("close_ret is not null and pred_close_ret is not null")
     return rounded(ME.timing_metrics(rows, ["ticker", "model", "horizon"]))
 
 
 def current_timing(spark, d, rows=None):
-    rows = rows if rows is not None else written_once(spark, d, "timing_forecasts", lambda: timing_forecasts(spark, d))
+    rows = rows if rows is not None else cut_lineage(timing_forecasts(spark, d))
     m = ME.timing_metrics(rows.filter("close_ret is not null and pred_close_ret is not null"), ["ticker", "model", "horizon"])
     order = [F.asc(c) for c in ("timing_score", "trade_mae", "peak_mae", "drawdown_mae", "close_ret_mae")] + [F.desc("trade_hit_pct"), F.asc("model")]
     best = ME.first_per_key(m, ["ticker", "horizon"], order)
@@ -303,7 +303,7 @@ def best_timing_pick(spark, d):
     qualify row_number() over (partition by ticker order by cycle_score, peak_mae, peak_day_mae, drawdown_mae, horizon, model) = 1""",
 )
 def best_cycle_horizon(spark, d):
-    rows = written_once(spark, d, "timing_forecasts", lambda: timing_forecasts(spark, d)).filter("close_ret is not null and pred_close_ret is not null")
+    rows = cut_lineage(timing_forecasts(spark, d)).filter("close_ret is not null and pred_close_ret is not null")
     m = ME.timing_metrics(rows, ["ticker", "model", "horizon"])
     order = [F.asc(c) for c in ("cycle_score", "peak_mae", "peak_day_mae", "drawdown_mae", "horizon", "model")]
     return rounded(ME.first_per_key(m, ["ticker"], order).select("ticker", "horizon", "model", "cycle_score", "peak_mae"))
@@ -361,7 +361,7 @@ def probabilities(spark, d):
 
 
 def known_probabilities(spark, d):
-    rows = written_once(spark, d, "probabilities", lambda: probabilities(spark, d))
+    rows = cut_lineage(probabilities(spark, d))
     return rows.filter("prob is not null and y is not null")
 
 
@@ -459,7 +459,7 @@ def both_targets(rows, *keep):
 
 
 def overlay(spark, d):
-    rows = written_once(spark, d, "probabilities", lambda: probabilities(spark, d))
+    rows = cut_lineage(probabilities(spark, d))
     known = both_targets(rows.filter("prob is not null and y is not null").select("ticker", "horizon", "model", "y", "prob", "ret"))
     m = ME.classification_metrics(known, ["ticker", "horizon", "model", "target"], "prob", "y", "ret").withColumn("edge", F.col("bull_ret"))
     m = m.withColumns({f"_{c}": F.round(c, 9) for c in ("auc", "brier", "accuracy")})
@@ -499,7 +499,7 @@ view(
 
 def blended(spark, d, rows=None):
     """Range forecasts of the two variants blended by horizon."""
-    rows = rows if rows is not None else written_once(spark, d, "ohlc_forecasts", lambda: ohlc_forecasts(spark, d))
+    rows = rows if rows is not None else cut_lineage(ohlc_forecasts(spark, d))
     latest = ME.first_per_key(rows, ["ticker", "horizon", "model"], [F.desc("date")]).select(
         "ticker", "horizon", "model", F.col("pred_low_price").alias("low"), F.col("pred_close_price").alias("mid"), F.col("pred_high_price").alias("high")
     )

@@ -15,15 +15,14 @@ from barloom.plans.intraday import index_5m
 from barloom.plans.panel import parts
 from barloom.plans.registry import query
 from barloom.plans.snapshot import rounded
-from barloom.session import cut_lineage, written_once
+from barloom.session import cut_lineage
 from barloom.sources import bars as B
 
 OHLC = ["target_open", "target_close", "target_upper", "target_lower"]
 
 
 def sample(spark, d, bars):
-    return written_once(
-        spark, d, "feature_sample", lambda: FE.feature_sample(bars, B.index_bars(bars), B.index_bars(bars, weighted=True))
+    return cut_lineage(FE.feature_sample(bars, B.index_bars(bars), B.index_bars(bars, weighted=True))
     )
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,27 +39,12 @@ def with_views(sql: str) -> str:
     return "with " + ",\n".join(parts) + "\n" + body
 
 
-def keep_cores_busy(spark: SparkSession) -> None:
-    """Let small shuffles keep several partitions: window-heavy plans are bound by CPU, not bytes.
-
-    Large shuffles are unaffected, and a value the user chose is left alone.
-    """
-    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    if spark.conf.get(key) in ("1MB", "1048576b"):
-        spark.conf.set(key, "64KB")
-
-
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
 
-        @wraps(fn)
-        def run(spark: SparkSession, d: str) -> DataFrame:
-            keep_cores_busy(spark)
-            return fn(spark, d)
-
-        QUERIES[name] = run
+        QUERIES[name] = fn
         if sql is not None:
             ORACLES[name] = with_views(sql)
         return fn

@@ -9,7 +9,7 @@ from barloom.plans import inputs as I
 from barloom.plans.panel import rd
 from barloom.plans.registry import query, view
 from barloom.plans.snapshot import rounded
-from barloom.session import written_once
+from barloom.session import cut_lineage
 
 _SPANS = TR.EMA_SPANS
 view(
@@ -166,7 +166,7 @@ view(
 
 
 def labels(spark, d):
-    indicators = written_once(spark, d, "playbook_indicators", lambda: TR.playbook_indicators(I.bars_table(spark, d)))
+    indicators = cut_lineage(TR.playbook_indicators(I.bars_table(spark, d)))
     return indicators, TR.label_trades(indicators, TR.catalogue_table(spark))
 
 

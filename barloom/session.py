@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "barloom", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with adaptive execution on; cluster submitters keep their own master."""
+    """Session with adaptive execution on; cluster submitters keep their own master.
+
+    Small shuffles keep several partitions: window-heavy plans are bound by CPU, not bytes.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:
@@ -26,12 +30,26 @@ def build_session(app: str = "barloom", master: str | None = None, **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder the cluster names in ``spark.checkpoint.dir``; a scratch folder only where unset."""
+    """Folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is named, a session on one machine gets a folder of its own; on a cluster that
+    would be a folder other machines cannot see, so there it is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="barloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="barloom-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
+def new_path(spark: SparkSession, name: str = "table") -> str:
+    """A path of its own in the shared folder; what is written there goes when the session ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/barloom-{name}-{os.getpid()}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -41,33 +59,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     branches read only the columns they need, sizes are known to the optimizer, and a lost
     executor does not force the upstream work again.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/barloom-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-_WRITTEN: dict[tuple, DataFrame] = {}
-
-
-def _state_of(spark: SparkSession, folder: str) -> tuple | None:
-    """Names, sizes and change times of a folder's files; None when they cannot be listed."""
-    try:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-        return tuple((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)
-    except Exception:
-        return None
-
-
-def written_once(spark: SparkSession, source: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A derived table written on first use in a session and read by later plans.
-
-    Written again as soon as any file of the source folder has changed.
-    """
-    state = _state_of(spark, source)
-    if state is None:
-        return cut_lineage(build())
-    key = (spark.sparkContext.applicationId, shared_folder(spark), source, name, state)
-    if key not in _WRITTEN:
-        _WRITTEN[key] = cut_lineage(build())
-    return _WRITTEN[key]
