@@ -6,9 +6,11 @@ the smallest rank. ``BANDS`` bands of ``ROWS`` coordinates miss a pair at simila
 probability of (1 - 0.8^4)^24, 3 in a million.
 
 Documents with the same shingle set are one class, so copies are never compared. Each band
-bucket first links its members to its smallest class only. Buckets that still hold several
-components after that go through all pairs between different components (not within one), so no
-link is left out. Every link is confirmed on the full shingle sets.
+bucket first links its members to one hub, the class that meets most others over all buckets, so
+that a large group of near copies costs about one comparison per member. Classes in buckets that
+still hold several components after that go through an exact prefix filter, which leaves no link
+out: two sets can only be similar enough if they share one of their few rarest shingles. Pairs
+within a component are left aside. Every link is confirmed on the full shingle sets.
 """
 
 from __future__ import annotations
@@ -140,7 +142,7 @@ def _confirmed(percent: int):
 
 def _near_in_size(a: str, b: str, percent: int):
     """No pair can reach the similarity if one set is too small for the other."""
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (F.col("a") != F.col("b"))
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
@@ -160,31 +162,33 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             F.min("id").alias("least_id"), F.max("n").alias("n"), F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig")
         )
     )
-    buckets = cut_lineage(classes.select("key", "n", F.explode("bands").alias("band")))
-    shared = buckets.groupBy("band").agg(F.min_by(F.struct("key", "n"), "key").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    buckets = classes.select("key", "n", F.explode("bands").alias("band"))
+    sizes = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = cut_lineage(buckets.join(sizes, "band"))
+    weights = shared.groupBy("key").agg(F.sum("size").alias("weight"))
+    hubs = shared.join(weights, "key").groupBy("band").agg(F.max_by(F.struct("key", "n"), F.struct("weight", "key")).alias("hub"))
     star = (
-        buckets.join(shared.select("band", F.col("hub.key").alias("a"), F.col("hub.n").alias("n_a")), "band")
+        shared.join(hubs.select("band", F.col("hub.key").alias("a"), F.col("hub.n").alias("n_a")), "band")
         .withColumnRenamed("key", "b")
-        .filter(_near_in_size("n_a", "n", percent))
+        .filter((F.col("a") != F.col("b")) & _near_in_size("n_a", "n", percent))
         .select("a", "b")
         .distinct()
     )
-    links = cut_lineage(_verified(given, classes, star, percent))
+    likely = _likely_pairs(classes, star)
+    ends = likely.select(F.col("a").alias("key")).union(likely.select(F.col("b").alias("key"))).distinct()
+    links = cut_lineage(_confirm(likely, _members(given, classes, ends), percent))
     label = components(links)
 
-    # buckets with members of different components: pairs between those, each once
-    labelled = buckets.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
+    # buckets with members of different components: all links between those
+    labelled = shared.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("band")
-    open_rows = cut_lineage(labelled.join(mixed, "band"))
-    left = open_rows.select("band", F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-    right = open_rows.select("band", F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    across = (
-        left.join(right, "band").filter("label_a < label_b").filter(_near_in_size("n_a", "n_b", percent)).select("a", "b").distinct()
-    )
-    tested = star.union(star.select("b", "a"))
-    more = cut_lineage(_verified(given, classes, across.join(tested, ["a", "b"], "left_anti"), percent))
-    if more.limit(1).count():
-        label = components(links.union(more))
+    left_open = cut_lineage(labelled.join(mixed, "band").select("key", "label").distinct())
+    if left_open.limit(1).count():
+        sets = _members(given, classes, left_open.select("key"))
+        across = cut_lineage(_prefix_pairs(sets, left_open, percent).join(star.union(star.select("b", "a")), ["a", "b"], "left_anti"))
+        more = cut_lineage(_confirm(across, sets, percent))
+        if more.limit(1).count():
+            label = components(links.union(more))
 
     placed = classes.select("key", "least_id").join(label.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "label", F.coalesce("label", "key")
@@ -203,27 +207,76 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def _verified(given: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of class keys whose full shingle sets are similar enough."""
+def _likely_pairs(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of class keys whose signatures agree enough to be verified."""
     sig = classes.select("key", "sig")
-    likely = cut_lineage(
+    return cut_lineage(
         pairs.join(sig.select(F.col("key").alias("a"), F.col("sig").alias("sig_a")), "a")
         .join(sig.select(F.col("key").alias("b"), F.col("sig").alias("sig_b")), "b")
         .select("a", "b", "sig_a", "sig_b")
         .mapInArrow(_likely, "a bigint, b bigint")
     )
-    wanted = likely.select(F.col("a").alias("key")).union(likely.select(F.col("b").alias("key"))).distinct().join(classes, "key")
-    with_id = wanted.filter("least_id is not null").select(F.col("least_id").alias("id")).distinct()
-    texts = given.join(with_id, "id", "left_semi").unionByName(given.filter("id is null"))
-    sets = cut_lineage(texts.select("id", "text").mapInArrow(_sets, "key bigint, members binary").join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]))
+
+
+def _members(given: DataFrame, classes: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, members): the full shingle sets of classes, from the text of one document each."""
+    wanted = keys.join(classes.select("key", "least_id"), "key")
+    ids = wanted.filter("least_id is not null").select(F.col("least_id").alias("id")).distinct()
+    texts = given.join(ids, "id", "left_semi").unionByName(given.filter("id is null"))
+    made = texts.select("id", "text").mapInArrow(_sets, "key bigint, members binary")
+    return cut_lineage(made.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]))
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of class keys whose full shingle sets are similar enough."""
     return (
-        likely.join(sets.select(F.col("key").alias("a"), F.col("members").alias("x")), "a")
+        pairs.join(sets.select(F.col("key").alias("a"), F.col("members").alias("x")), "a")
         .join(sets.select(F.col("key").alias("b"), F.col("members").alias("y")), "b")
         .select("a", "b", "x", "y")
         .mapInArrow(_confirmed(percent), "a bigint, b bigint")
     )
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each member of each set, a set at a time."""
+    for batch in batches:
+        for key, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            s = np.frombuffer(raw.as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), key, np.int64)), pa.array(s)], ["key", "shingle"])
+
+
+def _prefix_pairs(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different labels that may be similar enough, by prefix filter.
+
+    Shingles are ordered rarest first. Sets x and y with |x & y| >= t share a shingle among the
+    first |x| - t + 1 of x and the first |y| - t + 1 of y. Similarity fixes t by the two sizes.
+    Shingles that only one set has come first and pair with nothing, so they are only counted.
+    """
+    rows = cut_lineage(sets.select("key", "members").mapInArrow(_spread, "key bigint, shingle bigint"))
+    common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    size = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    ordered = (
+        rows.join(common, "shingle").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("rest"))
+        .join(size, "key")
+        .join(labels, "key")
+        .withColumn("alone", F.col("n") - F.size("rest"))
+        # a partner has percent of n members at least
+        .withColumn("prefix", F.col("n") - F.ceil(F.col("n") * percent / F.lit(100.0) - F.lit(1e-9)) + 1 - F.col("alone"))
+        .filter("prefix > 0")
+        .select("key", "label", "n", "alone", F.posexplode(F.slice("rest", F.lit(1), F.col("prefix").cast("int"))).alias("at", "member"))
+        .select("key", "label", "n", (F.col("alone") + F.col("at")).alias("at"), F.col("member.shingle").alias("shingle"))
+    )
+    ordered = cut_lineage(ordered)
+    left = ordered.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("key", "label", "n", "at")])
+    right = ordered.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("key", "label", "n", "at")])
+    least = F.ceil((F.col("n_a") + F.col("n_b")) * percent / F.lit(100.0 + percent) - F.lit(1e-9))
+    near = _near_in_size("n_a", "n_b", percent) & (F.col("at_a") <= F.col("n_a") - least) & (F.col("at_b") <= F.col("n_b") - least)
+    return (
+        left.join(right, "shingle").filter((F.col("label_a") < F.col("label_b")) & near)
+        .select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
+    )
+
+
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component, all columns; see ``near_dedup``."""
     gone = near_dedup(docs, id_col, text_col, percent).filter("not kept").select(F.col(id_col).alias("__id")).distinct()

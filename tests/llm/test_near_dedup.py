@@ -67,6 +67,38 @@ def test_many_copies_and_noise(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in run(spark, rows)) == brute(rows)
 
 
+def test_near_copies_at_the_threshold(spark):
+    """One base text with random edits, on both sides of the threshold, and unrelated texts that share a passage."""
+    import random
+
+    r = random.Random(8)
+    base = [f"w{i}" for i in range(90)]
+    texts = []
+    for k in range(160):
+        w = list(base)
+        for p in r.sample(range(90), r.randrange(0, 9)):
+            w[p] = f"e{r.randrange(40) if k % 3 else k}"
+        texts.append(" ".join(w[: r.choice((90, 90, 84, 78))]))
+    texts += [" ".join([*base[:40], *(f"u{k}x{i}" for i in range(r.randrange(20, 60)))]) for k in range(60)]
+    rows = list(enumerate(texts))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in run(spark, rows)) == brute(rows)
+
+
+def test_prefix_filter_leaves_no_pair_out(spark):
+    import random
+
+    import numpy as np
+
+    r = random.Random(4)
+    sets = [r.sample(range(30), r.randrange(4, 25)) for _ in range(150)]
+    sets += [sorted(set(s) ^ {r.randrange(30)}) for s in sets[:60]]
+    df = spark.createDataFrame([(k, np.array(sorted(s), np.uint64).tobytes()) for k, s in enumerate(sets)], "key bigint, members binary")
+    labels = spark.createDataFrame([(k, k) for k in range(len(sets))], "key bigint, label bigint")
+    got = {(p.a, p.b) for p in N._prefix_pairs(df, labels, 80).collect()}
+    want = {(a, b) for a, b in combinations(range(len(sets)), 2) if 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})}
+    assert want and want <= got
+
+
 def test_driver_documents(spark):
     import os
 
