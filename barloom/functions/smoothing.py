@@ -2,9 +2,10 @@
 
 ``s[i] = (1-a)*s[i-1] + a*x[i]`` with ``s[0] = x[0]`` is a sum of inputs with weights
 ``a*(1-a)^(i-j)``. A plain prefix sum of ``x[j]*(1-a)^-j`` would overflow on long
-histories, so each history is cut into blocks: the sum restarts in every block and the
-end of the previous block is carried in. Blocks are long enough that anything older than
-the previous block weighs less than 1e-18. No arrays, no Python, one shuffle by key.
+histories, so each history is cut into blocks: the sum restarts in every block, and the ends of all earlier
+blocks are carried in, each decayed by the blocks since. Ratios of two smoothed series stay
+right however small both have become. No Python, one shuffle by key; the only array holds
+one number per earlier block of the key's history.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.frames import non_zero, ordered
@@ -27,6 +28,11 @@ def _block_length(alphas: Sequence[float]) -> int:
     return shortest
 
 
+def _chained(ends: Column, decay: float) -> Column:
+    """Sum of the block ends, each decayed once for every block after it."""
+    return F.aggregate(ends, F.lit(0.0), lambda total, end: total * F.lit(decay) + end)
+
+
 def exp_smooth(
     df: DataFrame,
     keys: Sequence[str],
@@ -60,10 +66,8 @@ def exp_smooth(
     df = df.withColumns(local)
     smoothed = {}
     for src, out, a in parts:
-        closing = F.last(
-            F.when(F.col("_off") == size - 1, F.col(f"_local_{out}")), ignorenulls=True
-        ).over(before)
-        carried = F.coalesce(closing, F.lit(0.0)) * F.pow(F.lit(1.0 - a), F.col("_off") + 1)
+        closings = F.collect_list(F.when(F.col("_off") == size - 1, F.col(f"_local_{out}"))).over(before)
+        carried = _chained(closings, (1.0 - a) ** size) * F.pow(F.lit(1.0 - a), F.col("_off") + 1)
         smoothed[out] = F.when(F.col(src).isNotNull(), F.col(f"_local_{out}") + carried)
     return df.withColumns(smoothed).drop("_n", "_block", "_off", *local)
 

@@ -101,9 +101,24 @@ def note_overrides(line: Column) -> dict[str, Column]:
 
 
 def embedded_members(html: Column, script_id: str = "__NEXT_DATA__") -> Column:
-    """Symbols (else tickers) of the ``_collection`` list inside a page's embedded JSON, upper case."""
+    """Symbols (else tickers) of the first ``_collection`` list at any depth of a page's embedded JSON, upper case.
+
+    The list's text runs from its bracket to the one that closes it; brackets inside strings and
+    nested lists are counted as such.
+    """
     script = F.regexp_extract(html, rf'(?s)<script id="{script_id}"[^>]*>(.*?)</script>', 1)
-    listed = F.regexp_extract(script, r'(?s)"_collection"\s*:\s*(\[.*?\])', 1)
+    # any list is the shortest prefix from its bracket that is balanced once strings are blanked out
+    rest = F.regexp_extract(script, r'(?s)"_collection"\s*:\s*(\[.*)', 1)
+    ends = F.regexp_extract_all(rest, F.lit(r'(?s)"(?:[^"\\]|\\.)*+"|[\[\]]|[^"\[\]]+'), 0)
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("taken"), F.lit(False).alias("closed"))
+
+    def step(at: Column, token: Column) -> Column:
+        depth = at["depth"] + F.when(token == "[", 1).when(token == "]", -1).otherwise(0)
+        return F.when(at["closed"], at).otherwise(
+            F.struct(depth.alias("depth"), F.concat(at["taken"], token).alias("taken"), ((depth == 0) & (token == "]")).alias("closed"))
+        )
+
+    listed = F.aggregate(ends, start, step, lambda at: F.when(at["closed"], at["taken"]))
     rows = F.from_json(listed, "array<struct<symbol:string,ticker:string>>")
     names = F.transform(rows, lambda r: F.upper(F.trim(F.coalesce(r["symbol"], r["ticker"]))))
     return F.filter(names, lambda n: n.isNotNull() & (n != ""))

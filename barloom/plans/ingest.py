@@ -383,14 +383,14 @@ def page_symbols(spark, d):
 
 @query(
     "page_script_members",
-    """
-    select page_id, cast(regexp_extract(html, 'track\\((\\d+)\\)', 1) as bigint) member
-    from pages where regexp_extract(html, 'track\\((\\d+)\\)', 1) <> ''
-    """.replace("\\\\", "\\"),
+    r"""
+    select page_id, unnest([cast(x as bigint) for x in regexp_extract_all(html, 'track\((\d+)\)', 1)]) member from pages
+    """,
 )
 def page_script_members(spark, d):
-    """Members named inside an embedded script, read through a JSON payload."""
-    payload = F.concat(F.lit('{"list":['), F.regexp_extract("html", r"track\((\d+)\)", 1), F.lit("]}"))
+    """Members named inside embedded scripts, all of them, read through a JSON payload."""
+    found = F.regexp_extract_all("html", F.lit(r"track\((\d+)\)"), 1)
+    payload = F.concat(F.lit('{"list":['), F.array_join(found, ","), F.lit("]}"))
     members = F.from_json(payload, "list array<bigint>")["list"]
     return I.table(spark, d, "pages").select("page_id", F.explode(members).alias("member"))
 

@@ -4,27 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom.plans.registry import query
+from barloom.plans.registry import query, view
 from barloom.streaming import bars as SB
 
 
 @query("streaming_bars", 'select ticker, bar_ts, open, high, low, close, volume, "value" from v_5m')
 def streaming_bars(spark, d):
-    updates = SB.windowed_bars(SB.read_ticks(spark, d, "events.parquet"))
-    return SB.run_upsert(updates, ["ticker", "bar_ts"]).drop("last_at")
+    return SB.run_upsert(SB.read_ticks(spark, f"{d}/events.parquet")).drop("last_at")
+
+
+view(
+    "v_rsi5",
+    """
+    with recursive b as (
+      select ticker, cast(row_number() over w as bigint) n, cast(close - lag(close) over w as double) step from v_5m window w as (partition by ticker order by bar_ts)
+    ),
+    r as (
+      select ticker, n, greatest(step, 0) up, greatest(-step, 0) down from b where n = 2
+      union all
+      select r.ticker, b.n, r.up * 13 / 14 + greatest(b.step, 0) / 14, r.down * 13 / 14 + greatest(-b.step, 0) / 14
+      from r join b on b.ticker = r.ticker and b.n = r.n + 1
+    ),
+    z as (select ticker, max(n) n from b group by ticker)
+    select z.ticker, case when z.n >= 14 and r.down <> 0 then 100 - 100 / (1 + r.up / r.down) else 0.0 end rsi14
+    from z left join r on r.ticker = z.ticker and r.n = z.n
+    """,
+)
 
 
 @query(
     "streaming_latest",
     """
-    with dayed as (select *, max(cast(ts as date)) over (partition by ticker) last_day from v_ticks)
-    select ticker, max(ts) last_at, arg_max(price, (ts, event_id)) last_price, cast(sum(size) as bigint) day_volume,
-      cast(sum(price * size) as bigint) day_value
-    from dayed where cast(ts as date) = last_day group by ticker
+    with dayed as (select *, max(cast(ts as date)) over (partition by ticker) last_day from v_ticks),
+    l as (
+      select ticker, max(ts) last_at, arg_max(price, (ts, event_id)) last_price, cast(sum(size) as bigint) day_volume,
+        cast(sum(price * size) as bigint) day_value
+      from dayed where cast(ts as date) = last_day group by ticker
+    )
+    select ticker, last_at, last_price, day_volume, day_value, round(rsi14, 6) rsi14 from l join v_rsi5 using (ticker)
     """,
 )
 def streaming_latest(spark, d):
-    updates = SB.windowed_bars(SB.read_ticks(spark, d, "events.parquet"), "1 day")
-    return SB.latest_from_daily(SB.run_upsert(updates, ["ticker", "bar_ts"])).select(
-        "ticker", F.col("last_at"), "last_price", "day_volume", "day_value"
+    """Last price, that day's totals, and RSI14 over the 5-minute closes (0.0 when there is none)."""
+    ticks = SB.read_ticks(spark, f"{d}/events.parquet")
+    bars = SB.run_upsert(ticks)
+    daily = (
+        bars.withColumn("day", F.date_trunc("day", "bar_ts"))
+        .groupBy("ticker", "day")
+        .agg(
+            F.max_by("close", "bar_ts").alias("close"), F.sum("volume").alias("volume"), F.sum("value").alias("value"),
+            F.max("last_at").alias("last_at"),
+        )
+        .withColumnRenamed("day", "bar_ts")
+    )
+    return SB.latest_from_daily(daily).join(SB.latest_rsi(bars), "ticker").select(
+        "ticker", "last_at", "last_price", "day_volume", "day_value", F.round("rsi14", 6).alias("rsi14")
     )

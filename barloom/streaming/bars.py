@@ -1,15 +1,20 @@
-"""Incremental bars from a stream of tick files."""
+"""Incremental bars from a stream of tick files.
+
+Ticks are appended by trade date; a batch then rebuilds from the stored ticks the windows it
+touched, and only those. A late row of any age, a correction or a file delivered twice so lands
+in its window, and no state is kept between batches but the stored ticks.
+"""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.session import shared_folder
+from barloom.functions.smoothing import with_rsi
+from barloom.session import new_path
 from barloom.sources.bars import packed_sequence, upsert_keep_last
 
 EVENTS = T.StructType(
@@ -23,39 +28,44 @@ EVENTS = T.StructType(
     ]
 )
 
+# Window starts are wall-clock times, whatever the session's zone.
+_ZERO = "timestamp_ntz'1970-01-01 00:00:00'"
+_MICROS = f"timestampdiff(MICROSECOND, {_ZERO}, ts)"
 
-# Event time must be an instant; wall-clock times are read as UTC whatever the session zone.
-_MICROS = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"
-_INSTANT = f"timestampadd(MICROSECOND, {_MICROS}, timestamp'1970-01-01 00:00:00Z')"
-_WALL_CLOCK = "timestampadd(MICROSECOND, unix_micros(window.start), timestamp_ntz'1970-01-01 00:00:00')"
 
+def read_ticks(spark: SparkSession, path: str, files_per_trigger: int = 64) -> DataFrame:
+    """Stream of ticks from a parquet file or a folder of dropped files, so many files a batch.
 
-def read_ticks(spark: SparkSession, folder: str, pattern: str = "*.parquet", files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of ticks from dropped files; repeated deliveries of an event are dropped within the watermark."""
-    reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", pattern)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    A stream's plain path must be a folder; a pattern that only this path fits may be either.
+    """
+    path = path.rstrip("/")
     return (
-        reader.parquet(folder)
+        spark.readStream.schema(EVENTS)
+        .option("maxFilesPerTrigger", files_per_trigger)
+        .parquet(f"{path[:-1]}[{path[-1]}]")
         .select(
             F.col("event_type").alias("ticker"),
             "ts",
-            F.expr(_INSTANT).alias("at"),
             "event_id",
             packed_sequence((F.expr(_MICROS), 18), ("event_id", 18)).alias("seq"),
             F.expr("cast(round(value * 100) as bigint)").alias("price"),
             F.expr("user_id % 10 + 1").alias("size"),
         )
-        .withWatermark("at", "2 days")
-        .dropDuplicatesWithinWatermark(["event_id"])
     )
 
 
-def windowed_bars(ticks: DataFrame, width: str = "5 minutes") -> DataFrame:
-    """Running OHLCV per instrument and tumbling window; state is dropped two days behind the newest tick."""
+def _with_window(ticks: DataFrame, minutes: int) -> DataFrame:
+    span = minutes * 60_000_000
+    start = F.expr(f"timestampadd(MICROSECOND, {_MICROS} - pmod({_MICROS}, {span}), {_ZERO})")
+    return ticks.withColumn("bar_ts", start)
+
+
+def windowed_bars(ticks: DataFrame, minutes: int = 5) -> DataFrame:
+    """OHLCV per instrument and tumbling window; an event counts once however often it was delivered."""
     order = F.col("seq")
     return (
-        ticks.groupBy("ticker", F.window("at", width))
+        _with_window(ticks.dropDuplicates(["ticker", "event_id"]), minutes)
+        .groupBy("ticker", "bar_ts")
         .agg(
             F.min_by("price", order).alias("open"),
             F.max("price").alias("high"),
@@ -65,33 +75,47 @@ def windowed_bars(ticks: DataFrame, width: str = "5 minutes") -> DataFrame:
             F.sum(F.col("price") * F.col("size")).alias("value"),
             F.max("ts").alias("last_at"),
         )
-        .withColumn("bar_ts", F.expr(_WALL_CLOCK))
-        .drop("window")
     )
 
 
-def run_upsert(updates: DataFrame, keys: Sequence[str], folder: str | None = None) -> DataFrame:
-    """Process all available input, appending each batch's changed rows, and return the newest row per key.
+def run_upsert(ticks: DataFrame, minutes: int = 5, folder: str | None = None, oldest: str | None = None) -> DataFrame:
+    """Process all available input and return the newest row per instrument and window.
 
-    Batches are written under their number, so a batch repeated after a failure replaces
-    itself; the merge keeps the last version of a key. State and progress live in the
-    shared folder, so any executor can be lost.
+    Each batch appends its ticks under its number, so a batch repeated after a failure replaces
+    itself, and writes the windows it touched anew from all stored ticks. The merge keeps the last
+    version of a window. State and progress lie in ``folder`` (by default one of its own in the
+    shared folder), so any executor can be lost and a later call goes on where this one ended.
+    Ticks before ``oldest`` (a time, None for no limit) are written to ``folder``/late instead.
     """
-    root = (folder or f"{shared_folder(updates.sparkSession).rstrip('/')}/barloom-stream-{uuid.uuid4().hex}").rstrip("/")
+    spark = ticks.sparkSession
+    root = (folder or new_path(spark, "stream")).rstrip("/")
+    schema = ticks.schema
+    stored = T.StructType([*schema.fields, T.StructField("batch", T.LongType()), T.StructField("trade_date", T.DateType())])
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/rows/batch={number}")
+        batch = batch.withColumn("trade_date", F.to_date("ts"))
+        if oldest is not None:
+            limit = F.to_timestamp_ntz(F.lit(oldest))
+            batch.filter(F.col("ts") < limit).write.mode("overwrite").parquet(f"{root}/late/batch={number}")
+            batch = batch.filter(F.col("ts") >= limit)
+        batch.write.mode("overwrite").partitionBy("trade_date").parquet(f"{root}/ticks/batch={number}")
+        own = spark.read.schema(schema).parquet(f"{root}/ticks/batch={number}")
+        touched = _with_window(own, minutes).select("ticker", "bar_ts").distinct()
+        days = touched.select(F.to_date("bar_ts").alias("trade_date")).distinct()
+        every = spark.read.schema(stored).parquet(f"{root}/ticks").filter(F.col("batch") <= number)
+        bars = windowed_bars(every.join(days, "trade_date", "left_semi"), minutes)
+        bars.join(touched, ["ticker", "bar_ts"], "left_semi").write.mode("overwrite").parquet(f"{root}/rows/batch={number}")
 
     (
-        updates.writeStream.outputMode("update")
-        .option("checkpointLocation", f"{root}/progress")
+        ticks.writeStream.option("checkpointLocation", f"{root}/progress")
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()
         .awaitTermination()
     )
-    schema = T.StructType([*updates.schema.fields, T.StructField("batch", T.LongType())])
-    return upsert_keep_last(updates.sparkSession.read.schema(schema).parquet(f"{root}/rows"), keys, "batch")
+    bars = windowed_bars(spark.createDataFrame([], schema), minutes).schema
+    rows = spark.read.schema(T.StructType([*bars.fields, T.StructField("batch", T.LongType())])).parquet(f"{root}/rows")
+    return upsert_keep_last(rows, ["ticker", "bar_ts"], "batch")
 
 
 def latest_from_daily(daily: DataFrame) -> DataFrame:
@@ -103,3 +127,11 @@ def latest_from_daily(daily: DataFrame) -> DataFrame:
         F.max_by("volume", day).alias("day_volume"),
         F.max_by("value", day).alias("day_value"),
     )
+
+
+def latest_rsi(bars: DataFrame, period: int = 14) -> DataFrame:
+    """(ticker, rsi14) of the last bar; 0.0 where there are fewer bars than ``period`` or no losses."""
+    last = with_rsi(bars.withColumn("date", F.col("bar_ts")), period, "rsi").groupBy("ticker").agg(
+        F.max_by("rsi", "bar_ts").alias("rsi"), F.count(F.lit(1)).alias("n")
+    )
+    return last.select("ticker", F.coalesce(F.when(F.col("n") >= period, F.col("rsi")), F.lit(0.0)).alias("rsi14"))

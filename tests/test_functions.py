@@ -42,6 +42,28 @@ def test_smoothing_matches_recursion_over_many_blocks(spark):
         assert np.allclose(g.macd_signal[25:], line.ewm(span=9, adjust=False).mean()[25:], atol=1e-9)
 
 
+def test_smoothing_keeps_ratios_over_long_flat_stretches(spark):
+    moving = 50 + np.cumsum(np.random.default_rng(4).normal(0, 0.5, 40))
+    close = np.concatenate([moving, np.full(3000, moving[-1])])
+    rows = [("t", dt.date(2000, 1, 1) + dt.timedelta(i), float(c)) for i, c in enumerate(close)]
+    got = SM.with_rsi(spark.createDataFrame(rows, "ticker string, date date, close double"), 14, "rsi").orderBy("date").toPandas().rsi
+    up = down = None
+    want = [None]
+    for step in np.diff(close):
+        gain, loss = max(step, 0.0), max(-step, 0.0)
+        up = gain if up is None else up * 13 / 14 + gain / 14
+        down = loss if down is None else down * 13 / 14 + loss / 14
+        want.append(100 - 100 / (1 + up / down) if down else None)
+    assert np.allclose(got.astype(float), np.array(want, float), equal_nan=True, rtol=1e-6)
+    assert not np.isnan(got.iloc[-1])
+
+
+def test_embedded_list_with_nested_brackets(spark):
+    page = '<script id="__NEXT_DATA__">{"a":{"_collection":[{"symbol":"aa]","tags":["x",["y"]]},{"ticker":" bb ","n":[1,2]}],"rest":[{"symbol":"no"}]}}</script>'
+    df = spark.createDataFrame([(page,), ("none",), (None,), ('<script id="__NEXT_DATA__">{"_collection":[{"symbol":"open"}</script>',)], "h string")
+    assert [r[0] for r in df.select(X.embedded_members(F.col("h"))).collect()] == [["AA]", "BB"], None, None, None]
+
+
 def test_rank_matches_pandas_with_ties_and_nulls(spark):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"g": rng.choice(["x", "y"], 400), "v": np.round(rng.normal(0, 3, 400), 1), "i": range(400)})

@@ -280,22 +280,50 @@ def test_logistic_helper_separates():
     assert ((p > 0.5) == (y[200:] == 1)).mean() > 0.9
 
 
-def test_stream_of_files_equals_batch_and_takes_corrections(spark, tmp_path):
+def test_stream_of_files_equals_batch_in_any_order(spark, tmp_path):
+    """Files newest first, one a batch, some rows twice, days apart; and a later call that goes on."""
     start = dt.datetime(2024, 1, 1)
-    rows = [(i, start + dt.timedelta(minutes=i), i % 7, "ab"[i % 2], float(i % 13), "{}") for i in range(300)]
-    source = tmp_path / "in"
-    for k, part in enumerate((rows[:120], rows[100:220], rows[220:])):  # overlapping deliveries
-        spark.createDataFrame(part, SB.EVENTS).coalesce(1).write.mode("append").parquet(str(source / f"p{k}"))
-    flat = tmp_path / "flat"
-    flat.mkdir()
-    for i, f in enumerate(sorted(source.rglob("*.parquet"))):
-        (flat / f"{i}.parquet").write_bytes(f.read_bytes())
-    updates = SB.windowed_bars(SB.read_ticks(spark, str(flat), files_per_trigger=1))
-    got = SB.run_upsert(updates, ["ticker", "bar_ts"], str(tmp_path / "out"))
-    pdf = pd.DataFrame(rows, columns=["id", "ts", "u", "ticker", "v", "p"])
-    pdf["bar_ts"] = pdf.ts.dt.floor("5min")
-    pdf["size"] = pdf.u % 10 + 1
-    want = pdf.groupby(["ticker", "bar_ts"]).agg(open=("v", "first"), close=("v", "last"), volume=("size", "sum"))
-    mine = got.toPandas().set_index(["ticker", "bar_ts"]).sort_index()
-    assert len(mine) == len(want)
-    assert (mine.open / 100 == want.open).all() and (mine.close / 100 == want.close).all() and (mine.volume == want.volume).all()
+    rows = [(i, start + dt.timedelta(minutes=37 * i), i % 7, "ab"[i % 2], float(i % 13), "{}") for i in range(800)]
+    folder = tmp_path / "events.parquet"
+    folder.mkdir()
+
+    def drop(name, part):
+        spark.createDataFrame(part, SB.EVENTS).coalesce(1).write.parquet(str(tmp_path / name))
+        (source,) = (tmp_path / name).glob("part-*.parquet")
+        (folder / f"part-{name}.parquet").write_bytes(source.read_bytes())
+
+    def wanted(seen):
+        pdf = pd.DataFrame(seen, columns=["id", "ts", "u", "ticker", "v", "p"]).drop_duplicates("id").sort_values(["ts", "id"])
+        pdf["bar_ts"] = pdf.ts.dt.floor("5min")
+        pdf["size"] = pdf.u % 10 + 1
+        return pdf.groupby(["ticker", "bar_ts"]).agg(open=("v", "first"), close=("v", "last"), volume=("size", "sum"))
+
+    def check(seen, oldest=None):
+        got = SB.run_upsert(SB.read_ticks(spark, str(folder), files_per_trigger=1), folder=str(tmp_path / "out"), oldest=oldest)
+        mine, want = got.toPandas().set_index(["ticker", "bar_ts"]).sort_index(), wanted(seen)
+        assert len(mine) == len(want)
+        assert (mine.open / 100 == want.open).all() and (mine.close / 100 == want.close).all() and (mine.volume == want.volume).all()
+
+    for k in (3, 2, 1):
+        drop(f"p{k}", rows[k * 200 - 20 : (k + 1) * 200])
+    check(rows[180:])
+    drop("late", rows[:200])
+    drop("again", rows[300:500])
+    check(rows)
+    drop("old", [(5000, dt.datetime(2020, 1, 1), 1, "a", 1.0, "{}")])
+    check(rows, oldest="2023-01-01 00:00:00")
+    assert spark.read.parquet(str(tmp_path / "out" / "late")).count() == 1
+
+
+def test_one_file_and_latest_rsi(spark, tmp_path):
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(minutes=5 * i), 1, t, float(v), "{}") for t, vs in (("a", [5, 6, 4] * 8), ("b", range(20)), ("c", [1, 2])) for i, v in enumerate(vs, 1000 * ord(t))]
+    spark.createDataFrame(rows, SB.EVENTS).coalesce(1).write.parquet(str(tmp_path / "x"))
+    (source,) = (tmp_path / "x").glob("part-*.parquet")
+    (tmp_path / "events.parquet").write_bytes(source.read_bytes())
+    got = {r.ticker: r.rsi14 for r in SB.latest_rsi(SB.run_upsert(SB.read_ticks(spark, str(tmp_path / "events.parquet")))).collect()}
+    close = pd.Series([5.0, 6, 4] * 8) * 100
+    up = close.diff().clip(lower=0).ewm(alpha=1 / 14, adjust=False).mean()
+    down = (-close.diff()).clip(lower=0).ewm(alpha=1 / 14, adjust=False).mean()
+    assert abs(got["a"] - (100 - 100 / (1 + up / down)).iloc[-1]) < 1e-9
+    assert got["b"] == 0.0 and got["c"] == 0.0
