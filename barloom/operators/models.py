@@ -6,7 +6,7 @@ group is small whatever the data volume. Pooled models use Spark ML on the whole
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -55,11 +55,6 @@ def logistic(train: np.ndarray, y: np.ndarray, test: np.ndarray, penalty: float
     return 1.0 / (1.0 + np.exp(-np.clip(z @ beta, -30, 30)))
 
 
-def _blocks(dates: np.ndarray, min_train: int, every: int) -> Iterator[tuple[int, int]]:
-    for start in range(min_train, len(dates), every):
-        yield start, min(start + every, len(dates))
-
-
 def grouped_forecast(
     rows: DataFrame,
     keys: Sequence[str],
@@ -67,20 +62,25 @@ def grouped_forecast(
     targets: Sequence[str],
     min_train: int,
     every: int | None = None,
-    holdout: int | None = None,
+    holdout: int | Callable[[int], int] | None = None,
+    train_last: int | None = None,
     fit: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray] = ridge,
     order: str = "date",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Out-of-sample and current predictions per group.
 
-    With ``every`` the model is refitted before each block of that many rows on strictly
-    earlier rows (walk-forward); with ``holdout`` the last rows are kept out once. The
-    current row is scored by a fit on all labelled rows. Groups that are too short give no
-    rows. Output: keys, order column, role (``eval`` or ``current``), targets, ``pred_`` columns.
+    Counts are of distinct values of ``order`` (days) with known targets; a group may have
+    several rows a day. With ``every`` the model is refitted before each block of that many days
+    on strictly earlier ones, from ``min_train`` days on (walk-forward); with ``holdout`` the last
+    days (a number, or a function of the number of days) are kept out once. ``train_last`` slices
+    every training set to its last days. The rows of the latest day are scored by a fit on all
+    earlier labelled rows. Groups that are too short give no rows. Output: keys, order column,
+    role (``eval`` or ``current``), ``carry`` columns of the row, targets, ``pred_`` columns.
     """
     keys, features, targets = list(keys), list(features), list(targets)
     schema = T.StructType(
-        [rows.schema[c] for c in (*keys, order)]
+        [rows.schema[c] for c in (*keys, order, *carry)]
         + [T.StructField("role", T.StringType())]
         + [T.StructField(c, T.DoubleType()) for t in targets for c in (t, f"pred_{t}")]
     )
@@ -91,15 +91,25 @@ def grouped_forecast(
         x = pdf[features].to_numpy(dtype=float)
         y = pdf[targets].to_numpy(dtype=float)
         labelled = np.flatnonzero(known)
+        moments = pdf[order].to_numpy()
+        days, first = np.unique(moments[labelled], return_index=True)
+        first = np.append(first, len(labelled))
+        n = len(days)
         spans = []
         if every is not None:
-            spans = list(_blocks(labelled, min_train, every))
-        elif len(labelled) >= min_train + (holdout or 0):
-            spans = [(len(labelled) - holdout, len(labelled))]
+            spans = [(start, min(start + every, n)) for start in range(min_train, n, every)]
+        else:
+            out = holdout(n) if callable(holdout) else holdout or 0
+            if n >= min_train + out:
+                spans = [(n - out, n)]
+
+        def before(day: int) -> np.ndarray:
+            return labelled[first[max(0, day - train_last) if train_last else 0] : first[day]]
+
         parts = []
 
         def emit(index: np.ndarray, predicted: np.ndarray, role: str) -> None:
-            part = pdf.loc[index, [*keys, order]].copy()
+            part = pdf.loc[index, [*keys, order, *carry]].copy()
             part["role"] = role
             for j, t in enumerate(targets):
                 part[t] = y[index, j]
@@ -107,18 +117,19 @@ def grouped_forecast(
             parts.append(part)
 
         for start, end in spans:
-            train, test = labelled[:start], labelled[start:end]
+            train, test = before(start), labelled[first[start] : first[end]]
             if len(train) and len(test) and _varied(fit, y[train]):
                 emit(test, fit(x[train], _target(fit, y[train]), x[test]), "eval")
-        if spans and _varied(fit, y[labelled]):
-            last = np.array([len(pdf) - 1])
-            train = labelled[labelled < last[0]]
-            emit(last, fit(x[train], _target(fit, y[train]), x[last]), "current")
+        if spans:
+            last = np.flatnonzero(moments == moments[-1])
+            train = before(int(np.searchsorted(days, moments[-1])))
+            if len(train) and _varied(fit, y[train]):
+                emit(last, fit(x[train], _target(fit, y[train]), x[last]), "current")
         if not parts:
             return pd.DataFrame(columns=[f.name for f in schema.fields])
         return pd.concat(parts, ignore_index=True)[[f.name for f in schema.fields]]
 
-    wanted = rows.select(*keys, order, *features, *[t for t in targets if t not in features])
+    wanted = rows.select(*keys, order, *carry, *features, *[t for t in targets if t not in features])
     return wanted.groupBy(*keys).applyInPandas(run, schema)
 
 

@@ -22,8 +22,7 @@ OHLC = ["target_open", "target_close", "target_upper", "target_lower"]
 
 
 def sample(spark, d, bars):
-    return cut_lineage(FE.feature_sample(bars, B.index_bars(bars), B.index_bars(bars, weighted=True))
-    )
+    return cut_lineage(FE.feature_sample(bars, B.index_bars(bars), B.index_bars(bars, weighted=True)))
 
 
 def ohlc_rows(spark, d, horizons=(1,)):
@@ -33,9 +32,13 @@ def ohlc_rows(spark, d, horizons=(1,)):
 
 
 @query("ohlc_walk_forward")
-def ohlc_walk_forward(spark, d):
-    """Walk-forward ridge of the four next-day targets on all 129 features, per instrument."""
-    rows = MO.grouped_forecast(ohlc_rows(spark, d), ["ticker", "horizon"], FE.FEATURES, OHLC, 252, every=250)
+def ohlc_walk_forward(spark, d, min_train: int = 252, every: int = 250):
+    """Walk-forward ridge of the four next-day targets on all 129 features, per instrument.
+
+    ``min_train`` days come before the first forecast, and the model is refitted every ``every``
+    days; 1 refits daily.
+    """
+    rows = MO.grouped_forecast(ohlc_rows(spark, d), ["ticker", "horizon"], FE.FEATURES, OHLC, min_train, every=every)
     return rounded(rows, digits=4)
 
 
@@ -50,14 +53,19 @@ def next_session_forecast(spark, d):
 
 
 @query("range_forecast")
-def range_forecast(spark, d):
-    """Full and recent variants by horizon; the recent one trains on the last 63 dates."""
+def range_forecast(spark, d, recent: int = 252, quarter: int = 63):
+    """Current forecasts by horizon of three variants that differ in their training rows.
+
+    The full variant trains on all earlier days, the others on the last ``recent`` and ``quarter``
+    ones; all are fitted and held out on the same history.
+    """
     rows = cut_lineage(ohlc_rows(spark, d, (1, 5, 10)))
-    variants = T.recent_dates(rows, 252).withColumn("variant", F.lit("full")).unionByName(
-        T.recent_dates(rows, 126).withColumn("variant", F.lit("recent"))
-    )
-    out = MO.grouped_forecast(variants, ["ticker", "variant", "horizon"], FE.BASE, OHLC, 20, holdout=30)
-    return rounded(out.filter("role = 'current'").drop(*OHLC), digits=4)
+    parts = [
+        MO.grouped_forecast(rows, ["ticker", "horizon"], FE.BASE, OHLC, 20, holdout=30, train_last=last)
+        .filter("role = 'current'").drop(*OHLC).withColumn("variant", F.lit(name))
+        for name, last in (("full", None), ("recent", recent), ("quarter", quarter))
+    ]
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), digits=4)
 
 
 @query("timing_forecast")
@@ -88,33 +96,39 @@ def rest_of_session_forecast(spark, d):
     return rounded(out, digits=4)
 
 
+COLORS = ("is_green", "is_red", "is_ceiling", "is_floor")
+
+
 @query("color_classifier")
-def color_classifier(spark, d):
-    """Up-day and limit-touch probabilities per instrument, walk-forward."""
-    rows = cut_lineage(T.color_labels(ohlc_rows(spark, d)))
-    out = None
-    for label in ("is_green", "is_ceiling"):
-        one = MO.grouped_forecast(
-            rows.withColumn("label", F.col(label).cast("double")), ["ticker", "horizon"], FE.BASE, ["label"], 252, every=500, fit=MO.logistic
-        ).withColumn("target", F.lit(label))
-        out = one if out is None else out.unionByName(one)
+def color_classifier(spark, d, horizons: tuple = (1, 3, 5, 10), min_train: int = 120, every: int = 500):
+    """Up-day, down-day and limit-touch probabilities per instrument and horizon, walk-forward.
+
+    ``every`` is the number of days between refits; 10 is customary, and costs fifty times more.
+    """
+    rows = T.color_labels(ohlc_rows(spark, d, horizons))
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("target"), F.col(c).cast("double").alias("label")) for c in COLORS]))
+    rows = rows.select("ticker", "horizon", "date", *FE.BASE, each.alias("_l")).select("*", "_l.target", "_l.label").drop("_l")
+    out = MO.grouped_forecast(rows, ["ticker", "horizon", "target"], FE.BASE, ["label"], min_train, every=every, fit=MO.logistic)
     return rounded(out, digits=4)
 
 
 @query("touch_classifier")
 def touch_classifier(spark, d):
-    """Touch probability by horizon from depth and recent state; a heuristic where no model fits."""
+    """Touch probability by horizon and depth from depth and recent state; a heuristic where no model fits.
+
+    One model per instrument and horizon learns from all depths of the grid; a quarter of its days,
+    15 to 40, is held out.
+    """
     bars = I.bars_table(spark, d)
-    # One row per day: the middle depth of the grid, so that a group has one row per date.
-    labels = T.touch_labels(bars).filter("depth = 1.0")
-    rows = sample(spark, d, bars).join(labels, ["ticker", "date"])
-    features = [*FE.BASE, "atr_pct", "entry_pct"]
+    labels = cut_lineage(T.touch_labels(bars))
+    rows = sample(spark, d, bars).join(labels, ["ticker", "date"]).withColumn("depth_key", F.col("depth"))
+    features = [*FE.BASE, "atr_pct", "entry_pct", "depth"]
     out = MO.grouped_forecast(
-        rows, ["ticker", "horizon"], features, ["touched"], 120, holdout=MO.fill_holdout(1000), fit=MO.logistic
+        rows, ["ticker", "horizon"], features, ["touched"], 120, holdout=MO.fill_holdout, fit=MO.logistic, carry=["depth_key"]
     )
-    current = out.filter("role = 'current'").select("ticker", "horizon", F.col("pred_touched").alias("model_prob"))
-    base = labels.groupBy("ticker", "horizon").agg(F.avg("touched").alias("base_rate"))
-    return rounded(MO.with_fallback(base, current, ["ticker", "horizon"], "model_prob", "base_rate"), digits=4)
+    current = out.filter("role = 'current'").select("ticker", "horizon", F.col("depth_key").alias("depth"), F.col("pred_touched").alias("model_prob"))
+    base = labels.groupBy("ticker", "horizon", "depth").agg(F.avg("touched").alias("base_rate"))
+    return rounded(MO.with_fallback(base, current, ["ticker", "horizon", "depth"], "model_prob", "base_rate"), digits=4)
 
 
 POOLED = "ret5 ret20 ret60 dist20 dist50 vol_ratio20 rel20 rel60 rel20_rank rel60_rank corr20 beta20 sector_breadth20 sector_rank".split()
@@ -145,13 +159,18 @@ def pooled_outperform_boosted(spark, d):
 
 
 @query("market_direction")
-def market_direction(spark, d):
-    """Direction of the index over ten days, walk-forward, with UP and DOWN calls."""
+def market_direction(spark, d, horizons: tuple = (5, 10), min_train: int = 600, every: int = 600):
+    """Direction of the index over five and ten days, walk-forward, with UP and DOWN calls.
+
+    Refitted every ``every`` days from ``min_train`` days on.
+    """
     panel, sectors, idx = parts(spark, d)
     features = ["i_ret5", "i_ret20", "i_range20", "breadth20", "breadth50", "positive5", "dispersion20", "median_rel20", "mean_corr20"]
-    rows = P.market_panel(panel, sectors, idx).withColumn(
-        "label", F.when(F.col("i_fwd10").isNotNull(), (F.col("i_fwd10") > 0).cast("double"))
-    )
-    rows = rows.select("date", "label", "i_fwd10", *features)
-    out = MO.pooled_walk_forward(rows, features, [], "label", "logistic", 600, 600)
-    return rounded(out.select("date", "role", "label", "prob").withColumn("call", MO.direction_call(F.col("prob"))), digits=4)
+    rows = cut_lineage(P.market_panel(panel, sectors, idx))
+    out = None
+    for h in horizons:
+        ahead = F.col(f"i_fwd{h}")
+        known = rows.withColumn("label", F.when(ahead.isNotNull(), (ahead > 0).cast("double"))).select("date", "label", *features)
+        one = MO.pooled_walk_forward(known, features, [], "label", "logistic", min_train, every).withColumn("horizon", F.lit(h))
+        out = one if out is None else out.unionByName(one)
+    return rounded(out.select("date", "horizon", "role", "label", "prob").withColumn("call", MO.direction_call(F.col("prob"))), digits=4)
