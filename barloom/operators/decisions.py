@@ -288,11 +288,20 @@ def candidate_scores(rows: DataFrame, budget: float, crowded: Column) -> DataFra
 
 
 def rank_decisions(rows: DataFrame) -> DataFrame:
-    """Place within each decision by rounded score, then name."""
+    """Place within each decision by rounded score (null last), then name.
+
+    There are three decisions for any number of instruments, so places come from running counts
+    over score buckets, and names are only ordered among equal scores.
+    """
     place = F.when(F.col("decision") == BUY_NOW, 0).when(F.col("decision") == HOLD_OFF, 1).when(F.col("decision") == NO_BUY, 2).otherwise(9)
-    w = Window.partitionBy("decision").orderBy(F.desc("candidate_score"), "ticker")
-    return rows.withColumn("candidate_score", F.bround("score", 2)).withColumns(
-        {"decision_order": place, "decision_rank": F.row_number().over(w)}
+    rows = rows.withColumn("candidate_score", F.bround("score", 2)).withColumn("_down", F.coalesce(-F.col("candidate_score"), F.lit(1e18)))
+    above = running_totals(rows, ["decision"], "_down", {"_c": F.lit(1)}).select("decision", "_down", "_c_below")
+    among = Window.partitionBy("decision", "_down").orderBy("ticker")
+    return (
+        rows.withColumn("_among", F.row_number().over(among))
+        .join(above, ["decision", "_down"])
+        .withColumns({"decision_order": place, "decision_rank": (F.col("_c_below") + F.col("_among")).cast("int")})
+        .drop("_down", "_among", "_c_below")
     )
 
 

@@ -44,6 +44,29 @@ def index_range_metrics(index: DataFrame, windows: Sequence[int] = (20, 60, 120)
     return last.select(*out)
 
 
+def regime_history(bars: DataFrame, index: DataFrame) -> DataFrame:
+    """(date, new_high20_pct, atr_pct_rank) for every date.
+
+    new_high20_pct: share of instruments at their 20-row high; atr_pct_rank: how high the index's
+    ATR percent ranks among all dates up to that one, null for the first 19. One index value per
+    trading day bounds the list behind the rank.
+    """
+    high = full_frame(F.max, F.col("close"), ordered("ticker"), 20)
+    shares = bars.select("date", "close", high.alias("hi20")).groupBy("date").agg(
+        (F.avg(F.when(F.col("hi20").isNotNull(), (F.col("close") >= F.col("hi20")).cast("int"))) * 100.0).alias("new_high20_pct")
+    )
+    seen = ordered(INDEX_KEY).rowsBetween(Window.unboundedPreceding, 0)
+    ranks = (
+        with_atr(one_series(index), 14, "atr14", key=INDEX_KEY)
+        .withColumn("atr_pct", F.col("atr14") / non_zero("close") * 100.0)
+        .withColumn("past", F.collect_list("atr_pct").over(seen))
+        .withColumn("n", F.count(F.lit(1)).over(seen))
+    )
+    below = F.size(F.filter("past", lambda x: x <= F.col("atr_pct")))
+    ranks = ranks.select("date", F.when(F.col("n") >= 20, below * 100.0 / F.col("n")).alias("atr_pct_rank"))
+    return shares.join(ranks, "date", "left")
+
+
 def index_regime(index: DataFrame) -> DataFrame:
     """One row: Bull, Bear or Sideway, and how high today's ATR percent ranks in its history."""
     w = ordered(INDEX_KEY)

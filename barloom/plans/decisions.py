@@ -317,7 +317,7 @@ def candidate_watchlist(spark, d):
 
     overlay = ME.overlay_score(PX.overlay(spark, d)).select("ticker", "overlay_score")
     sectors = people.groupBy("sector").agg((F.avg(F.when(F.col("ret5") > 0, 1.0).otherwise(0.0)) * 100).alias("sector_positive5"))
-    rows = people.join(F.broadcast(sectors), "sector")
+    rows = people.join(sectors, "sector")
     forecast = base.select("ticker", "forecast_ret")
     rows = M.enrich(rows, forecast, D.best_entry(ladder).select("ticker", "limit_price", "entry_score"), book, best, overlay)
     rows = rows.withColumns(
@@ -448,7 +448,7 @@ def research_rows(spark, d):
     best = prices.filter("net_edge is not null").groupBy("ticker").agg(
         F.max("net_edge").alias("best_edge"), F.max(F.when(F.col("horizon") == 10, F.col("net_edge"))).alias("edge10")
     )
-    rows = rows.join(F.broadcast(sectors), "sector", "left").withColumn("archetype", D.archetype("asia", "europe", "america"))
+    rows = rows.join(sectors, "sector", "left").withColumn("archetype", D.archetype("asia", "europe", "america"))
     rows = M.enrich(rows, best, base.select("ticker", "cycle_peak", "cycle_drawdown", "low_t1", "close_t1"), ID.burst_patterns(bars))
     rows = rows.join(F.broadcast(D.archetype_table(spark)), "archetype").withColumns(
         {
@@ -476,21 +476,35 @@ def sector_regime_labels(spark, d):
 @query(
     "market_regime_targets",
     """
-    with b as (select date, breadth20, breadth50, positive5 from v_market),
-    r as (select *, case when breadth20 >= 65 and breadth50 >= 55 and positive5 >= 55 then 'risk_on' when breadth20 <= 35 and breadth50 <= 30 and positive5 <= 40 then 'risk_off' else 'balanced' end regime from b)
-    select date, regime, case regime when 'risk_on' then 70.0 when 'risk_off' then case when breadth20 <= 25 then 30.0 else 35.0 end else 55.0 end target_pct,
+    with nh as (
+      select date, avg(cast(close >= h20 as int)) * 100 new_high from (
+        select date, close, case when count(*) over f = 20 then max(close) over f end h20 from v_bars
+        window f as (partition by ticker order by date rows between 19 preceding and current row)) group by date
+    ),
+    a as (
+      select date, row_number() over (order by date) n,
+        list_reduce(list(cast(tr as double)) over (order by date rows between 500 preceding and current row), lambda p, q: p * 13 / 14 + q / 14) / close * 100 ap
+      from (select date, close, greatest(high - low, abs(high - lag(close) over (order by date)), abs(low - lag(close) over (order by date))) tr from v_index)
+    ),
+    k as (select x.date, case when x.n >= 20 then avg(cast(y.ap <= x.ap as int)) * 100 end rk from a x join a y on y.date <= x.date group by x.date, x.n),
+    b as (select date, breadth20, breadth50, positive5, coalesce(new_high, 0) nh, coalesce(rk, 0) rk from v_market left join nh using (date) left join k using (date)),
+    r as (select *, case when breadth20 >= 65 and breadth50 >= 55 and positive5 >= 55 and nh >= 15 then 'risk_on'
+      when breadth20 <= 35 and breadth50 <= 30 and positive5 <= 40 then 'risk_off' else 'balanced' end regime from b)
+    select date, regime, case regime when 'risk_on' then case when rk >= 80 then 65.0 else 70.0 end when 'risk_off' then case when breadth20 <= 25 then 30.0 else 35.0 end
+        else case when rk >= 80 then 50.0 else 55.0 end end target_pct,
       case regime when 'risk_on' then 0.35 when 'risk_off' then 0.10 else 0.25 end strength_share from r
     """,
 )
 def market_regime_targets(spark, d):
-    """Regime and invested target of every date in history."""
+    """Regime and invested target of every date in history, from that date's breadth, new highs and volatility rank."""
     from barloom.operators import panel as P
     from barloom.plans.panel import parts
 
-    m = P.market_panel(*parts(spark, d))
-    regime = D.market_regime(F.col("breadth20"), F.col("breadth50"), F.col("positive5"), F.lit(100.0))
-    rows = m.select("date", "breadth20", regime.alias("regime"))
-    target, share = D.invested_target(F.col("regime"), F.lit(None).cast("double"), F.col("breadth20"))
+    bars = I.bars_table(spark, d)
+    m = P.market_panel(*parts(spark, d)).join(M.regime_history(bars, B.index_bars(bars)), "date", "left")
+    regime = D.market_regime(F.col("breadth20"), F.col("breadth50"), F.col("positive5"), F.col("new_high20_pct"))
+    rows = m.select("date", "breadth20", "atr_pct_rank", regime.alias("regime"))
+    target, share = D.invested_target(F.col("regime"), F.col("atr_pct_rank"), F.col("breadth20"))
     return rows.select("date", "regime", target.alias("target_pct"), share.alias("strength_share"))
 
 

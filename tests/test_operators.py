@@ -272,6 +272,58 @@ def test_grouped_ridge_matches_normal_equations(spark):
     assert np.allclose(held.pred_y[:40], np.c_[np.ones(40), (test - mean) / std] @ beta)
 
 
+def test_grouped_forecast_by_days(spark):
+    """Several rows a day stay on one side of a split; training slices and carried columns."""
+    rng = np.random.default_rng(5)
+    days = np.repeat(pd.date_range("2020-01-01", periods=80).date, 3)
+    x = rng.normal(0, 1, (240, 2))
+    label = (x[:, 0] + 0.3 * rng.normal(0, 1, 240) > 0).astype(float)
+    pdf = pd.DataFrame(x, columns=["a", "b"]).assign(y=label, g="A", date=days, depth=np.tile([1.0, 2.0, 3.0], 80))
+    df = spark.createDataFrame(pdf).withColumn("y", F.when(F.col("date") < F.lit(days[-1]), F.col("y")))
+    out = MO.grouped_forecast(df, ["g"], ["a", "b"], ["y"], 30, holdout=lambda n: n // 4, fit=MO.logistic, carry=["depth"], train_last=40)
+    out = out.toPandas().sort_values(["date", "depth"])
+    held = out[out.role == "eval"]
+    assert sorted(set(held.date)) == sorted(set(days))[60:79] and len(held) == 57
+    train = pdf[(pdf.date >= sorted(set(days))[20]) & (pdf.date < sorted(set(days))[60])]
+    test = pdf[(pdf.date >= sorted(set(days))[60]) & (pdf.date < days[-1])]
+    assert np.allclose(held.pred_y, MO.logistic(train[["a", "b"]].to_numpy(), train.y.to_numpy(), test[["a", "b"]].to_numpy()))
+    now = out[out.role == "current"]
+    assert list(now.depth) == [1.0, 2.0, 3.0] and set(now.date) == {days[-1]}
+
+
+@pytest.mark.parametrize("model", ["logistic", "random_forest", "boosted_sampled", "network"])
+def test_pooled_walk_forward_sees_the_past_only(spark, model):
+    """Scores before a change do not depend on it, and separate a learnable label."""
+    rng = np.random.default_rng(6)
+    n = 60
+    rows = []
+    for t in "abc":
+        for k, day in enumerate(pd.date_range("2020-01-01", periods=n).date):
+            v = rng.normal(0, 1, 2)
+            rows.append((t, day, "s", float(v[0]), float(v[1]), float(v[0] > 0) if k < n - 1 else None))
+    schema = "ticker string, date date, sector string, a double, b double, label double"
+    run = lambda r: MO.pooled_walk_forward(spark.createDataFrame(r, schema), ["a", "b"], ["sector"], "label", model, 20, 20 if model == "logistic" else 40).toPandas()
+    first = run(rows).sort_values(["ticker", "date"]).reset_index(drop=True)
+    assert ((first.prob > 0.5) == (first.a > 0))[first.role == "eval"].mean() > 0.8
+    assert set(first[first.role == "eval"].date) == set(sorted({r[1] for r in rows})[20 : n - 1]) and (first.role == "current").sum() == 3
+    if model != "logistic":  # tree and network models draw by the layout of the rows
+        return
+    edge = sorted({r[1] for r in rows})[40]
+    turned = [(*r[:5], 1 - r[5] if r[5] is not None and r[1] >= edge else r[5]) for r in rows]
+    second = run(turned).sort_values(["ticker", "date"]).reset_index(drop=True)
+    early = first.date < edge
+    assert np.allclose(first.prob[early], second.prob[early])
+
+
+def test_rank_decisions_equals_sorting(spark):
+    rng = np.random.default_rng(7)
+    rows = [(f"t{k:03}", ("mua_ngay", "chờ", "x")[k % 3], None if k % 11 == 0 else float(rng.integers(-400, 400)) / 100) for k in range(300)]
+    got = D.rank_decisions(spark.createDataFrame(rows, "ticker string, decision string, score double")).toPandas()
+    for _, g in got.groupby("decision"):
+        want = sorted(g.itertuples(), key=lambda r: (np.isnan(r.score), -r.score if r.score == r.score else 0, r.ticker))
+        assert [r.decision_rank for r in want] == list(range(1, len(g) + 1))
+
+
 def test_logistic_helper_separates():
     rng = np.random.default_rng(9)
     x = rng.normal(0, 1, (300, 3))
