@@ -5,7 +5,8 @@ are taken largest first, each to the shard where the dot product of its vector w
 residual capacity, both as shares of the total, is highest. So that the driver handles a bounded
 number of items whatever the corpus, groups are first dealt by text hash into ``CELLS`` cells,
 each one item; only a group that outweighs its cell's fair share is an item of its own, and at
-most ``CELLS`` * 3 groups can. A group too large for even shards is split into parts by document.
+most ``CELLS`` * 3 groups can. A group is split, into parts by document, only when its bytes,
+tokens or rows exceed ``WHOLE`` of a shard's fair share (total / shards), whatever the table's size.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from barloom.llm.common import cut_lineage, filled, register, table
 SHARDS = 24
 #: Cells of small groups; with 24 shards some 170 a shard.
 CELLS = 4096
+#: The part of a shard's fair share up to which a group of equal texts stays whole.
+WHOLE = 1.0
 #: Rows in a block; a shard's share of a block is sorted at once.
 SLOT_ROWS = 4_000
 
@@ -70,8 +73,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
     fair = {c: max(totals[c] / CELLS, 1.0) for c in ("bytes", "tokens", "rows")}
     large = F.greatest(*[F.col(c) / F.lit(fair[c]) for c in fair])
     parts = F.least(F.floor(large), F.col("rows")).cast("int")
-    heavy = groups.select("group", parts.alias("parts")).filter("parts > 1")  # at most 3 * CELLS / 2 groups
-    # every row's item: a part of a heavy group, or else the cell (part -1)
+    fits = F.greatest(*[F.col(c) * F.lit(float(shards)) / F.lit(float(max(totals[c], 1))) for c in fair]) <= WHOLE
+    heavy = groups.withColumn("parts", parts).filter("parts > 1").select("group", F.when(fits, 1).otherwise(F.col("parts")).alias("parts"))  # at most 3 * CELLS / 2 groups
+    # every row's item: a heavy group or a part of one, or else the cell (part -1)
     dealt = cut_lineage(
         rows.join(F.broadcast(heavy), "group", "left").select(
             "id", "size", "text_crc32", "tokens", "group",

@@ -51,6 +51,21 @@ def test_small_groups_stay_together(spark):
     assert sum(len(p) == 1 for p in places.values()) == len(places)
 
 
+def test_groups_that_fit_a_shard_stay_together(spark):
+    """240 and 12,000 rows, fair shares of 10 and 500: copies of up to a share are whole, twice a share is split."""
+    for scale in (1, 50):
+        sizes = {"a": 2 * scale, "b": 5 * scale, "c": 10 * scale, "d": 20 * scale}
+        rows = [(i, f"copy {k}") for k, n in sizes.items() for i in range(n)]
+        rows += [(1_000_000 + i, f"lone {i}") for i in range(240 * scale - len(rows))]
+        got = S.shard(spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)).collect()
+        check(rows, got)
+        places = defaultdict(set)
+        for r in got:
+            places[r.text_crc32].add(r.shard)
+        spread = {k: len(places[zlib.crc32(f"copy {k}".encode())]) for k in sizes}
+        assert [spread[k] for k in "abc"] == [1, 1, 1] and spread["d"] > 1
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (1, ""), (None, "a"), (2, "é" * 100_000), (3, "a"), (3, "a"), (4, " \n\t")]
     df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], SCHEMA)
