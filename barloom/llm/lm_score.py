@@ -1,14 +1,18 @@
-"""Interpolated modified Kneser-Ney bigram model: counted in Spark, kept as sorted hash arrays.
-
-Map tasks reduce their texts to distinct (context, word) pairs with counts, as arrays, not rows.
-Pairs are dealt over a grid, one side by context hash and the other by word hash, so neither a
-frequent context nor a frequent word lands in one task; the grid grows with the text. Each cell
-merges its pairs, writes them as one sorted array file, and passes on what it adds to each word:
-raw count, number of contexts it follows, numbers of pairs it begins with count 1, 2 and more.
-A second deal by word sums those and writes the word files. Files lie in the shared folder,
-which must be a mounted one; scoring workers map them into memory and look hashes up, so memory
-does not grow with the model. Only sums over all cells come to the driver.
-
+"""Interpolated modified Kneser-Ney model of any order: counted in Spark, kept as sorted hash arrays.
+
+Map tasks reduce their texts to distinct n-grams of the highest order with counts, as arrays, not
+rows. They are dealt over a grid, one side by hash of the last word and the other by hash of the
+word before it, so neither a frequent context nor a frequent word lands in one task; the grid grows
+with the text. All n-grams that end in one pair share a cell, so each cell has what the lower orders
+count too: how many words stand before an n-gram, or for one that begins a text how often it does.
+Each cell writes each order's n-grams as one sorted array file, and passes on what it adds to each
+word (raw count, number of contexts it follows) and to each context (the total of its n-grams'
+counts, how many of them have count 1, 2 and more). A second deal by hash sums those and writes the
+word and context files. Files lie in the shared folder, which must be a mounted one; scoring workers
+map them into memory and look hashes up, so memory does not grow with the model. Only sums over all
+cells come to the driver.
+
+Before the first word of a text stands one begin sign; the first words have shorter contexts.
 Probabilities of all known words and one class for unknown ones sum to one for every context.
 """
 
@@ -19,6 +23,7 @@ import uuid
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 from urllib.parse import urlparse
 
 import numpy as np
@@ -29,13 +34,14 @@ from pyspark.sql import functions as F
 from barloom.llm.common import filled, new_path, register, table, text_bytes
 from barloom.llm.textnum import U64, chain, steps, words
 
-BEGIN, END = U64(0xBE617), U64(0xE2D)
+BEGIN, END, NONE = U64(0xBE617), U64(0xE2D), U64(0x09E)
 #: Text per cell of the grid.
 CELL_BYTES = 16_000_000
 FOLDS, HELD_OUT = 7, 2
 #: Array files that a worker keeps mapped.
 OPEN_FILES = 512
-_WORD_COLUMNS = 5  # raw count, contexts followed, pairs begun with count 1, 2, 3 or more
+_WORD_COLUMNS = 6  # raw count, contexts followed, pairs begun with count 1, 2, 3 or more, total of their counts
+_CONTEXT_COLUMNS = 4  # of a longer context: n-grams begun with count 1, 2, 3 or more, total of their counts
 
 
 def _deal(h: np.ndarray, n: int) -> np.ndarray:
@@ -43,12 +49,15 @@ def _deal(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> U64(32)) * U64(n) >> U64(32)).astype(np.int64)
 
 
-def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each token's context and hash for all texts in order (an end after each), and where each text's begin."""
+def _tokens(texts: pa.Array, order: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """The last ``order`` words up to each token of all texts (an end after each) as rows, and where each text's begin."""
     w, at = words(texts)
-    now = np.insert(w, at[1:], END)
-    before = np.insert(w, at[:-1], BEGIN)
-    return before, now, at + np.arange(len(at))
+    heads = at + np.arange(len(at))
+    last = [np.insert(w, at[1:], END), np.insert(w, at[:-1], BEGIN)]
+    while len(last) < order:
+        last.append(np.concatenate([last[-1][:1], last[-1][:-1]]))
+        last[-1][heads[:-1]] = NONE
+    return np.stack(last[::-1]), heads
 
 
 def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,15 +68,25 @@ def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(values[order], first, axis=0) if len(keys) else values
 
 
-def _pairs(before: np.ndarray, now: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (context, word) with the sums of n, ordered by context and word."""
-    order = np.lexsort((now, before))
-    before, now, n = before[order], now[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (now[1:] != now[:-1])])) if len(n) else np.zeros(0, np.int64)
-    return before[first], now[first], np.add.reduceat(n, first) if len(n) else n
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Whether each place differs from the one before it in any column."""
+    out = np.ones(len(columns[0]), bool)
+    out[1:] = False
+    for x in columns:
+        out[1:] |= x[1:] != x[:-1]
+    return out
+
+
+def _distinct(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams (columns of ``grams``) with the sums of n."""
+    key = chain(*grams)
+    order = np.argsort(key)
+    first = np.flatnonzero(_starts(key[order]))
+    return grams[:, order[first]], np.add.reduceat(n[order], first) if len(n) else n
 
 
-#: cell, and for pairs (kind 0) contexts, pairs of each, words, counts; for words (kind 1) keys, rows of _WORD_COLUMNS.
+#: cell, and for n-grams (kind 0) words by place, how many of them, their codes, counts; for sums (kind 2) one array;
+#: for words (kind 1) and contexts of k - 1 words (kind k, from 3) keys, rows of columns, bytes of a number.
 PARTS = "cell bigint, kind int, a binary, b binary, c binary, d binary"
 _NAMES = ["cell", "kind", "a", "b", "c", "d"]
 
@@ -85,54 +104,76 @@ def _smallest(x: np.ndarray) -> np.ndarray:
     return x.astype(np.min_scalar_type(int(x.max()) if x.size else 0))
 
 
-def _count(side: int):
+def _packed(cell: int, grams: np.ndarray, n: np.ndarray) -> tuple:
+    """A part of n-grams: at each place the distinct words and short codes."""
+    books, codes = zip(*(np.unique(g, return_inverse=True) for g in grams))
+    return (cell, 0, b"".join(x.tobytes() for x in books), np.array([len(x) for x in books]).tobytes(), b"".join(_smallest(x).tobytes() for x in codes), _smallest(n).tobytes())
+
+
+def _unpacked(r: dict) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.frombuffer(r["b"], np.int64)
+    books = np.split(np.frombuffer(r["a"], U64), np.cumsum(sizes)[:-1])
+    kinds = [np.min_scalar_type(int(k) - 1) for k in sizes]
+    m = len(r["c"]) // sum(k.itemsize for k in kinds)
+    grams, at = [], 0
+    for book, kind in zip(books, kinds):
+        grams.append(book[np.frombuffer(r["c"], kind, m, at)])
+        at += m * kind.itemsize
+    return np.stack(grams), np.frombuffer(r["d"], f"u{len(r['d']) // m}").astype(np.int64)
+
+
+def _sum_part(cell: int, kind: int, keys: np.ndarray, values: np.ndarray) -> tuple:
+    values = _smallest(values)
+    return (cell, kind, keys.tobytes(), values.tobytes(), str(values.itemsize).encode(), b"")
+
+
+def _count(side: int, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A task's texts to pairs per cell and words per range."""
-        held: list[tuple[np.ndarray, ...]] = []
+        """A task's texts to n-grams per cell and words per range."""
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         fresh = 0
 
         def settle() -> None:
             nonlocal fresh
-            held[:] = [_pairs(*(np.concatenate(x) for x in zip(*held)))]
+            held[:] = [_distinct(np.concatenate([x for x, _ in held], axis=1), np.concatenate([x for _, x in held]))]
             fresh = 0
 
         for batch in batches:
             for first, count in steps(batch.column(0)):
-                before, now, _ = _tokens(batch.column(0).slice(first, count))
-                held.append(_pairs(before, now, np.ones(len(now), np.int64)))
-                fresh += len(held[-1][0])
-                if fresh > max(2_000_000, len(held[0][0])):
+                grams, _ = _tokens(batch.column(0).slice(first, count), order)
+                held.append(_distinct(grams, np.ones(grams.shape[1], np.int64)))
+                fresh += len(held[-1][1])
+                if fresh > max(2_000_000, len(held[0][1])):
                     settle()
         if not held:
             return
         settle()
-        before, now, n = held[0]
-        cell = _deal(before, side) * side + _deal(now, side)
-        order = np.argsort(cell, kind="stable")
-        before, now, n, cell = before[order], now[order], n[order], cell[order]
-        key, raw = _summed(now, n)
+        grams, n = held.pop()
+        cell = _deal(grams[-2], side) * side + _deal(grams[-1], side)
+        by = np.argsort(cell.astype(np.min_scalar_type(side * side)), kind="stable")
+        grams, n, cell = grams[:, by], n[by], cell[by]
+        key, raw = _summed(grams[-1], n)
         rows = np.zeros((len(key), _WORD_COLUMNS), np.int64)
         rows[:, 0] = raw
         word_cell = _deal(key, side * side)
         for c in range(side * side):
             a, b = np.searchsorted(cell, [c, c + 1])
             if b > a:
-                head = np.flatnonzero(np.concatenate([[True], before[a + 1 : b] != before[a : b - 1]]))
-                yield _rows([_part(c, 0, before[a:b][head], np.diff(np.append(head, b - a)), now[a:b], n[a:b])])
+                yield _rows([_packed(c, grams[:, a:b], n[a:b])])
             a, b = np.searchsorted(word_cell, [c, c + 1])
             if b > a:
-                yield _rows([_part(c, 1, key[a:b], rows[a:b])])
+                yield _rows([_sum_part(c, 1, key[a:b], rows[a:b])])
 
     return run
 
 
-def _words_of(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-    """The word parts of a group, summed."""
-    keys = [np.frombuffer(r["a"], U64) for r in rows if r["kind"] == 1]
-    values = [np.frombuffer(r["b"], np.int64).reshape(-1, _WORD_COLUMNS) for r in rows if r["kind"] == 1]
-    if not keys:
-        return np.zeros(0, U64), np.zeros((0, _WORD_COLUMNS), np.int64)
-    return _summed(np.concatenate(keys), np.concatenate(values))
+def _sums_of(rows: list[dict], kind: int, columns: int) -> tuple[np.ndarray, np.ndarray]:
+    """The parts of words (kind 1) or contexts in a group, summed."""
+    own = [r for r in rows if r["kind"] == kind]
+    if not own:
+        return np.zeros(0, U64), np.zeros((0, columns), np.int64)
+    values = [np.frombuffer(r["b"], f"u{int(r['c'])}").reshape(-1, columns).astype(np.int64) for r in own]
+    return _summed(np.concatenate([np.frombuffer(r["a"], U64) for r in own]), np.concatenate(values))
 
 
 def _save(folder: str, name: str, **arrays: np.ndarray) -> None:
@@ -145,61 +186,86 @@ def _save(folder: str, name: str, **arrays: np.ndarray) -> None:
         os.replace(draft, os.path.join(folder, f"{name}-{key}.npy"))
 
 
-_SUMS = ["tokens", "words", "pairs", *(f"n{k}" for k in range(1, 5)), *(f"c{k}" for k in range(1, 5))]
+def _names_of_sums(order: int) -> list[str]:
+    """Sums over all cells: words' first, then the counts 1 to 4 of each order's n-grams."""
+    return ["tokens", "words", "pairs", *(f"{level}_{k}" for level in range(1, order + 1) for k in range(1, 5))]
 
 
-def _merge_pairs(folder: str, side: int):
+def _merge_grams(folder: str, side: int, order: int):
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        """One cell: its pairs sorted and written, and what they add to each word."""
+        """One cell: the n-grams of each order sorted and written, and what they add to each word and context."""
         cell = key[0].as_py()
         rows = group.to_pylist()
-        pairs = [r for r in rows if r["kind"] == 0]
-        out_keys, out_rows = _words_of(rows)
-        out_keys, out_rows = [out_keys], [out_rows]
-        sums = np.zeros(len(_SUMS), np.int64)
-        if pairs:
-            before = np.concatenate([np.repeat(np.frombuffer(r["a"], U64), np.frombuffer(r["b"], np.int64)) for r in pairs])
-            now = np.concatenate([np.frombuffer(r["c"], U64) for r in pairs])
-            n = np.concatenate([np.frombuffer(r["d"], np.int64) for r in pairs])
-            before, now, n = _pairs(before, now, n)
-            gram = chain(before, now)
-            order = np.argsort(gram)
-            _save(folder, f"pairs-{cell}", key=gram[order], n=_smallest(n[order]))
-            word, times = np.unique(now, return_counts=True)
-            follows = np.zeros((len(word), _WORD_COLUMNS), np.int64)
-            follows[:, 1] = times
-            begins = np.zeros((len(n), _WORD_COLUMNS), np.int64)
-            begins[np.arange(len(n)), 1 + np.minimum(n, 3)] = 1
-            for k, v in ((word, follows), _summed(before, begins)):
-                out_keys.append(k)
-                out_rows.append(v)
-            sums[3:7] = [(n == k).sum() for k in range(1, 5)]
-        keys, values = _summed(np.concatenate(out_keys), np.concatenate(out_rows))
-        to = _deal(keys, side * side)
+        of_words = [_sums_of(rows, 1, _WORD_COLUMNS)]
+        of_contexts = {}
+        sums = np.zeros(len(_names_of_sums(order)), np.int64)
+        grams = [_unpacked(r) for r in rows if r["kind"] == 0]
+        del rows
+        if grams:
+            grams, n = np.concatenate([x for x, _ in grams], axis=1), np.concatenate([x for _, x in grams])
+            pair = chain(grams[-2], grams[-1])
+            by = np.lexsort((*grams[:-2], pair))
+            grams, n = grams[:, by], n[by]
+            # where a new n-gram of each order starts: those with equal last words lie together
+            starts = {2: _starts(grams[-2], grams[-1])}
+            for k in range(3, order + 1):
+                starts[k] = starts[k - 1] | _starts(grams[-k])
+            first = np.flatnonzero(starts[order])
+            grams, n, starts = grams[:, first], np.add.reduceat(n, first), {k: x[first] for k, x in starts.items()}
+            for k in range(2, order + 1):
+                at = np.flatnonzero(starts[k])
+                head = grams[-k][at]
+                value = n
+                if k < order:
+                    value = np.where(head == BEGIN, np.add.reduceat(n, at), np.add.reduceat(starts[k + 1].astype(np.int64), at))
+                at, value = at[head != NONE], value[head != NONE]
+                own = grams[-k:, at]
+                gram = chain(*own)
+                up = np.argsort(gram)
+                _save(folder, f"grams{k}-{cell}", key=gram[up], n=_smallest(value[up]))
+                sums[3 + 4 * (k - 1) : 3 + 4 * k] = [(value == j).sum() for j in range(1, 5)]
+                begun = np.zeros((len(value), _CONTEXT_COLUMNS), np.int64)
+                begun[np.arange(len(value)), np.minimum(value, 3) - 1] = 1
+                begun[:, 3] = value
+                if k > 2:
+                    of_contexts[k] = _summed(chain(*own[:-1]), begun)
+                    continue
+                word, times = np.unique(own[-1], return_counts=True)
+                follows = np.zeros((len(word), _WORD_COLUMNS), np.int64)
+                follows[:, 1] = times
+                context, begun = _summed(own[0], begun)
+                of_words += [(word, follows), (context, np.pad(begun, ((0, 0), (2, 0))))]
         parts = [_part(-1, 2, sums)]
-        for c in np.unique(to).tolist():
-            a, b = np.searchsorted(to, [c, c + 1])
-            parts.append(_part(c, 1, keys[a:b], values[a:b]))
+        of_contexts[1] = _summed(np.concatenate([x for x, _ in of_words]), np.concatenate([x for _, x in of_words]))
+        for kind, (keys, values) in of_contexts.items():
+            to = _deal(keys, side * side)
+            for c in np.unique(to).tolist():
+                a, b = np.searchsorted(to, [c, c + 1])
+                parts.append(_sum_part(c, kind, keys[a:b], values[a:b]))
         return pa.Table.from_batches([_rows(parts)])
 
     return run
 
 
-def _merge_words(folder: str):
+def _merge_sums(folder: str, order: int):
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        """One range of words: their rows summed and written; the sums of a cell pass through."""
+        """One range of words and contexts: their rows summed and written; the sums of a cell pass through."""
         cell, rows = key[0].as_py(), group.to_pylist()
-        sums = np.zeros(len(_SUMS), np.int64)
+        sums = np.zeros(len(_names_of_sums(order)), np.int64)
         for r in rows:
             if r["kind"] == 2:
                 sums += np.frombuffer(r["a"], np.int64)
-        keys, values = _words_of(rows)
+        keys, values = _sums_of(rows, 1, _WORD_COLUMNS)
         if len(keys):
             _save(folder, f"words-{cell}", key=keys, **{f"v{k}": _smallest(values[:, k]) for k in range(_WORD_COLUMNS)})
             seen = values[:, 0] > 0
             sums[:3] += [values[:, 0].sum(), seen.sum(), values[:, 1].sum()]
-            sums[7:] += [(values[:, 1] == k).sum() for k in range(1, 5)]
-        return pa.table({n: [int(x)] for n, x in zip(_SUMS, sums)})
+            sums[3:7] += [(values[:, 1] == k).sum() for k in range(1, 5)]
+        for k in range(3, order + 1):
+            keys, values = _sums_of(rows, k, _CONTEXT_COLUMNS)
+            if len(keys):
+                _save(folder, f"contexts{k}-{cell}", key=keys, **{f"v{j}": _smallest(values[:, j]) for j in range(_CONTEXT_COLUMNS)})
+        return pa.table({x: [int(v)] for x, v in zip(_names_of_sums(order), sums)})
 
     return run
 
@@ -213,8 +279,7 @@ class Model:
     tokens: int
     words: int
     pairs: int
-    pair_discounts: tuple[float, float, float]
-    word_discounts: tuple[float, float, float]
+    discounts: tuple[tuple[float, float, float], ...]  # of words, pairs and each longer n-gram
     word_rest: float  # probability that the word level leaves to the uniform one
 
 
@@ -234,24 +299,23 @@ def _mounted(spark) -> str:
     return where.path
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Model:
+def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     """Count all texts of ``docs``; null and empty ones are one end token each."""
     folder = _mounted(docs.sparkSession)
     texts = docs.select(filled(text_col).alias("text"))
     side = max(2, int(np.ceil(np.sqrt(text_bytes(texts, "text") / CELL_BYTES))))
-    cells = side * side
+    cells, names = side * side, _names_of_sums(order)
     sums = (
-        texts.mapInArrow(_count(side), PARTS)
-        .repartition(cells, "cell").groupBy("cell").applyInArrow(_merge_pairs(folder, side), PARTS)
-        .repartition(cells, "cell").groupBy("cell").applyInArrow(_merge_words(folder), ", ".join(f"{n} bigint" for n in _SUMS))
-        .agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in _SUMS])
+        texts.mapInArrow(_count(side, order), PARTS)
+        .repartition(cells, "cell").groupBy("cell").applyInArrow(_merge_grams(folder, side, order), PARTS)
+        .repartition(cells, "cell").groupBy("cell").applyInArrow(_merge_sums(folder, order), ", ".join(f"{n} bigint" for n in names))
+        .agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
         .first()
     )
-    of_pairs = discounts(*(sums[f"n{k}"] for k in range(1, 5)))
-    of_words = discounts(*(sums[f"c{k}"] for k in range(1, 5)))
-    more = sums["words"] - sums["c1"] - sums["c2"]
-    left = of_words[0] * sums["c1"] + of_words[1] * sums["c2"] + of_words[2] * more
-    return Model(folder, side, sums["tokens"], sums["words"], sums["pairs"], of_pairs, of_words, left / sums["pairs"] if sums["pairs"] else 1.0)
+    of = tuple(discounts(*(sums[f"{level}_{k}"] for k in range(1, 5))) for level in range(1, order + 1))
+    more = sums["words"] - sums["1_1"] - sums["1_2"]
+    left = of[0][0] * sums["1_1"] + of[0][1] * sums["1_2"] + of[0][2] * more
+    return Model(folder, side, sums["tokens"], sums["words"], sums["pairs"], of, left / sums["pairs"] if sums["pairs"] else 1.0)
 
 
 _MAPPED: OrderedDict[str, np.ndarray] = OrderedDict()
@@ -292,25 +356,33 @@ def _discount(n: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(n, 3)]
 
 
+def _level(word: np.ndarray, n: np.ndarray, begun: np.ndarray, total: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
+    """Probabilities of one order from those of the order below; a context that was not seen leaves them."""
+    seen = total > 0
+    total = np.where(seen, total, 1).astype(float)
+    rest = (begun * np.array(d)[:, None]).sum(axis=0)
+    return np.where(seen, (n - _discount(n, d)) / total + rest / total * word, word)
+
+
 def score_texts(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each text: tokens, known tokens, base score, model's log10 probability."""
-    before, now, at = _tokens(texts)
+    order, cells = len(model.discounts), model.side**2
+    grams, at = _tokens(texts, order)
+    before, now = grams[-2:]
     distinct, place = np.unique(np.concatenate([now, before]), return_inverse=True)
-    stats = _find(model.folder, "words", _deal(distinct, model.side**2), distinct, [f"v{k}" for k in range(_WORD_COLUMNS)])
+    stats = _find(model.folder, "words", _deal(distinct, cells), distinct, [f"v{k}" for k in range(_WORD_COLUMNS)])
     own, context = place[: len(now)], place[len(now) :]
     raw, follows = stats[0][own], stats[1][own]
-    ends = int(stats[0][np.searchsorted(distinct, END)])
-    grams, one, which = np.unique(chain(before, now), return_index=True, return_inverse=True)
-    cell = _deal(before[one], model.side) * model.side + _deal(now[one], model.side)
-    n = _find(model.folder, "pairs", cell, grams, ["n"])[0][which]
-    d = model.word_discounts
-    word = (follows - _discount(follows, d)) / max(model.pairs, 1) + model.word_rest / (model.words + 1)
-    total = np.where(before == BEGIN, ends, stats[0][context]).astype(float)
-    e = model.pair_discounts
-    rest = (stats[2:5] * np.array(e)[:, None]).sum(axis=0)[context]
-    seen = total > 0
-    total[~seen] = 1
-    p = np.where(seen, (n - _discount(n, e)) / total + rest / total * word, word)
+    p = (follows - _discount(follows, model.discounts[0])) / max(model.pairs, 1) + model.word_rest / (model.words + 1)
+    for k in range(2, order + 1):
+        keys, one, which = np.unique(chain(*grams[-k:]), return_index=True, return_inverse=True)
+        n = _find(model.folder, f"grams{k}", _deal(before[one], model.side) * model.side + _deal(now[one], model.side), keys, ["n"])[0][which]
+        if k > 2:
+            keys, context = np.unique(chain(*grams[-k:-1]), return_inverse=True)
+            begun = _find(model.folder, f"contexts{k}", _deal(keys, cells), keys, [f"v{j}" for j in range(_CONTEXT_COLUMNS)])
+        else:
+            begun = stats[2:]
+        p = _level(p, n, begun[:3, context], begun[3][context], model.discounts[k - 1])
     base = np.log10((raw + 1) / (model.tokens + model.words + 1))
     first = at[:-1]
     return np.diff(at), np.add.reduceat((raw > 0).astype(np.int64), first), np.add.reduceat(base, first), np.add.reduceat(np.log10(p), first)
@@ -345,12 +417,16 @@ def is_held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def train_and_score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 2) -> DataFrame:
     """``score`` of all documents by a model of those not held out, with held_out."""
-    model = train(docs.filter(~is_held_out(id_col)), text_col)
+    model = train(docs.filter(~is_held_out(id_col)), text_col, order)
     return score(docs, model, id_col, text_col).withColumn("held_out", is_held_out(id_col))
 
 
-@register("op10_lm_scoring")
-def op10_lm_scoring(spark, d):
-    return train_and_score(table(spark, d, "documents"))
+def op10_lm_scoring(spark, d, order: int = 2):
+    return train_and_score(table(spark, d, "documents"), order=order)
+
+
+#: Order of the registered query's model.
+ORDER = 3
+register("op10_lm_scoring")(partial(op10_lm_scoring, order=ORDER))

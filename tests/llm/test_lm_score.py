@@ -106,3 +106,71 @@ def test_needs_mounted_folder(spark, monkeypatch):
     monkeypatch.setattr(L, "new_path", lambda spark, name: "s3a://bucket/x")
     with pytest.raises(ValueError, match="mounted"):
         L.train(spark.createDataFrame([], "doc_id bigint, text string"))
+
+
+class PlainOfOrder:
+    """A dictionary model of any order: raw counts at the top and for n-grams that begin a text, else distinct words before."""
+
+    def __init__(self, texts, order):
+        self.order, self.raw = order, Counter()
+        counts = [Counter() for _ in range(order + 1)]
+        for t in texts:
+            w = ["<s>", *tokens(t)]
+            self.raw.update(w[1:])
+            for k in range(2, order + 1):
+                counts[k].update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+        self.value = [None, Counter(g[-1:] for g in counts[2])]
+        for k in range(2, order + 1):
+            before = Counter(g[1:] for g in counts[k + 1]) if k < order else {}
+            self.value.append({g: n if k == order or g[0] == "<s>" else before[g] for g, n in counts[k].items()})
+        of = [Counter(v.values()) for v in self.value[1:]]
+        self.d = [None, *(L.discounts(*(c[j] for j in range(1, 5))) for c in of)]
+        self.begun, self.total = defaultdict(float), Counter()
+        for k in range(1, order + 1):
+            for g, n in self.value[k].items():
+                self.total[k, g[:-1]] += n
+                self.begun[k, g[:-1]] += self.d[k][min(n, 3) - 1]
+
+    def p(self, history, w, k=None):
+        k = min(self.order, len(history) + 1) if k is None else k
+        if k == 0:
+            return 1 / (len(self.raw) + 1)
+        context = tuple(history[len(history) - k + 1 :])
+        low, total = self.p(history, w, k - 1), self.total[k, context]
+        if not total:
+            return low
+        n = self.value[k].get((*context, w), 0)
+        return (n - (self.d[k][min(n, 3) - 1] if n else 0)) / total + self.begun[k, context] / total * low
+
+    def score(self, text):
+        w = ["<s>", *tokens(text)]
+        return sum(math.log10(self.p(w[:i], w[i])) for i in range(1, len(w)))
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_orders_equal_dictionary_model(spark, order):
+    import random
+
+    r = random.Random(2)
+    rows = [(i, " ".join(r.choices([f"w{k}" for k in range(12)], [1 / (k + 1) for k in range(12)], k=r.randrange(1, 30)))) for i in range(150)]
+    rows += [(900, None), (901, ""), (None, "w1 w2 unseen w1 w2"), (5, rows[5][1]), (904, "w1 " * 500)]
+    plain = PlainOfOrder([t for i, t in rows if not held_out(i)], order)
+    for history in (["<s>"], ["<s>", "w1"], ["<s>", "w0", "w3", "w1"], ["w1", "nothing"]):
+        assert sum(plain.p(history, w) for w in plain.raw) + plain.p(history, "unknown") == pytest.approx(1)
+    got = L.train_and_score(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), order=order).collect()
+    want = sorted((str(i), plain.score(t)) for i, t in rows)
+    assert [x for _, x in sorted((str(g.doc_id), g.score) for g in got)] == pytest.approx([x for _, x in want], rel=1e-9)
+
+
+def test_registered_query_is_a_trigram_model(spark):
+    import os
+
+    from barloom.llm.common import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("driver tables are not here")
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    plain = PlainOfOrder([t for i, t in rows if not held_out(i)], 3)
+    got = {r.doc_id: r.score for r in QUERIES["op10_lm_scoring"](spark, folder).collect()}
+    assert [got[i] for i, _ in rows] == pytest.approx([plain.score(t) for _, t in rows], rel=1e-9)
