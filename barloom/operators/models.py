@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.session import cut_lineage
+from barloom.session import cut_lineage, new_path
 
 
 def _prepare(train: np.ndarray, test: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,8 +201,10 @@ def pooled_walk_forward(
 ) -> DataFrame:
     """Pooled expanding-window classification: refit before each block of dates on strictly earlier dates.
 
-    Only the list of block starts comes to the driver. A last fit on all labelled rows
-    scores the latest date. Adds ``prob``, ``role`` and ``model``.
+    Only the list of block starts comes to the driver. Each block's scores are written once when
+    its model is fitted, and the result reads them, so the plan does not grow with the number of
+    blocks. A last fit on all labelled rows scores the latest date. Adds ``prob``, ``role`` and
+    ``model``.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
@@ -212,35 +214,32 @@ def pooled_walk_forward(
     dates = [r[0] for r in labelled.select("date").distinct().orderBy("date").collect()]
     starts = dates[min_train_dates::every]
     edges = [*starts, None]
-    out = None
-
-    def score(train: DataFrame, test: DataFrame, role: str) -> DataFrame | None:
-        if train.select(label).distinct().count() < 2:
-            return None
+    since = sorted(r[0] for r in labelled.groupBy(label).agg(F.min("date")).select("min(date)").collect())  # of each class
+    schema = T.StructType([*rows.schema, T.StructField("prob", T.DoubleType()), T.StructField("role", T.StringType()), T.StructField("model", T.StringType())])
+    path = new_path(rows.sparkSession)
+    rows.limit(0).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema[-3:]]).write.parquet(path)
+
+    def score(before, test: DataFrame, role: str) -> None:
+        if sum(day < before for day in since) < 2:
+            return
+        train = labelled.filter(F.col("date") < F.lit(before))
         head = Pipeline(stages=preprocessing(features, categories)).fit(train)
         prepared = head.transform(train)
-        width = prepared.select("features").first()[0].size
+        width = prepared.schema["features"].metadata["ml_attr"]["num_attrs"]
         fitted = classifiers(label)[model](width).fit(prepared)
         probability = vector_to_array(F.col("probability"))[1]
-        return fitted.transform(head.transform(test)).select(
-            *rows.columns, probability.alias("prob"), F.lit(role).alias("role"), F.lit(model).alias("model")
-        )
+        scored = fitted.transform(head.transform(test))
+        scored.select(*rows.columns, probability.alias("prob"), F.lit(role).alias("role"), F.lit(model).alias("model")).write.mode("append").parquet(path)
 
     for start, end in zip(edges, edges[1:]):
         block = F.col("date") >= F.lit(start)
         if end is not None:
             block = block & (F.col("date") < F.lit(end))
-        part = score(labelled.filter(F.col("date") < F.lit(start)), labelled.filter(block), "eval")
-        if part is not None:
-            out = part if out is None else out.unionByName(part)
+        score(start, labelled.filter(block), "eval")
     newest = rows.agg(F.max("date")).first()[0]
-    current = score(labelled.filter(F.col("date") < F.lit(newest)), rows.filter(F.col("date") == F.lit(newest)), "current")
-    if current is not None:
-        out = current if out is None else out.unionByName(current)
-    if out is None:
-        extra = "prob double, role string, model string"
-        return rows.limit(0).select("*", *[F.lit(None).cast(x.split()[1]).alias(x.split()[0]) for x in extra.split(", ")])
-    return out
+    if newest is not None:
+        score(newest, rows.filter(F.col("date") == F.lit(newest)), "current")
+    return rows.sparkSession.read.schema(schema).parquet(path)
 
 
 def direction_call(prob, high: float = 0.55, low: float = 0.45):

@@ -32,7 +32,7 @@ def ohlc_rows(spark, d, horizons=(1,)):
 
 
 @query("ohlc_walk_forward")
-def ohlc_walk_forward(spark, d, min_train: int = 252, every: int = 250):
+def ohlc_walk_forward(spark, d, min_train: int = 140, every: int = 10):
     """Walk-forward ridge of the four next-day targets on all 129 features, per instrument.
 
     ``min_train`` days come before the first forecast, and the model is refitted every ``every``
@@ -100,10 +100,10 @@ COLORS = ("is_green", "is_red", "is_ceiling", "is_floor")
 
 
 @query("color_classifier")
-def color_classifier(spark, d, horizons: tuple = (1, 3, 5, 10), min_train: int = 120, every: int = 500):
+def color_classifier(spark, d, horizons: tuple = (1, 3, 5, 10), min_train: int = 120, every: int = 10):
     """Up-day, down-day and limit-touch probabilities per instrument and horizon, walk-forward.
 
-    ``every`` is the number of days between refits; 10 is customary, and costs fifty times more.
+    ``every`` is the number of days between refits.
     """
     rows = T.color_labels(ohlc_rows(spark, d, horizons))
     each = F.explode(F.array(*[F.struct(F.lit(c).alias("target"), F.col(c).cast("double").alias("label")) for c in COLORS]))
@@ -135,31 +135,34 @@ POOLED = "ret5 ret20 ret60 dist20 dist50 vol_ratio20 rel20 rel60 rel20_rank rel6
 
 
 @query("pooled_outperform")
-def pooled_outperform(spark, d):
-    """Pooled logistic walk-forward: will an instrument beat the index over ten days."""
+def pooled_outperform(spark, d, min_train: int = 80, every: int = 5):
+    """Pooled logistic walk-forward: will an instrument beat the index over ten days.
+
+    Refitted every ``every`` days from ``min_train`` days on.
+    """
     panel, _, _ = parts(spark, d)
     rows = P.feature_panel(panel).withColumn(
         "label", F.when(F.col("excess10").isNotNull(), (F.col("excess10") > 0).cast("double"))
     )
     rows = rows.filter("dist50 is not null").select("ticker", "sector", "date", "label", "excess10", *POOLED)
-    out = MO.pooled_walk_forward(rows, POOLED, ["sector"], "label", "logistic", 1000, 700)
+    out = MO.pooled_walk_forward(rows, POOLED, ["sector"], "label", "logistic", min_train, every)
     return rounded(out.select("ticker", "date", "role", "label", "prob"), digits=4)
 
 
 @query("pooled_outperform_boosted")
-def pooled_outperform_boosted(spark, d):
-    """The boosted challenger of the same job, one refit."""
+def pooled_outperform_boosted(spark, d, min_train: int = 80, every: int = 10):
+    """The boosted challenger of the same job."""
     panel, _, _ = parts(spark, d)
     rows = P.feature_panel(panel).withColumn(
         "label", F.when(F.col("excess10").isNotNull(), (F.col("excess10") > 0).cast("double"))
     )
     rows = rows.filter("dist50 is not null").select("ticker", "sector", "date", "label", "excess10", *POOLED)
-    out = MO.pooled_walk_forward(rows, POOLED, ["sector"], "label", "boosted", 1500, 5000)
+    out = MO.pooled_walk_forward(rows, POOLED, ["sector"], "label", "boosted", min_train, every)
     return rounded(out.select("ticker", "date", "role", "label", "prob"), digits=4)
 
 
 @query("market_direction")
-def market_direction(spark, d, horizons: tuple = (5, 10), min_train: int = 600, every: int = 600):
+def market_direction(spark, d, horizons: tuple = (5, 10), min_train: int = 80, every: int = 5):
     """Direction of the index over five and ten days, walk-forward, with UP and DOWN calls.
 
     Refitted every ``every`` days from ``min_train`` days on.

@@ -315,6 +315,30 @@ def test_pooled_walk_forward_sees_the_past_only(spark, model):
     assert np.allclose(first.prob[early], second.prob[early])
 
 
+def test_walk_forwards_start_and_refit_as_the_reference():
+    import inspect
+
+    from barloom.plans import models as PM
+
+    want = {"ohlc_walk_forward": (140, 10), "color_classifier": (120, 10), "market_direction": (80, 5), "pooled_outperform": (80, 5), "pooled_outperform_boosted": (80, 10)}
+    for name, cadence in want.items():
+        given = inspect.signature(getattr(PM, name)).parameters
+        assert (given["min_train"].default, given["every"].default) == cadence, name
+
+
+def test_pooled_scores_are_read_from_one_table(spark):
+    """The plan does not grow with the number of blocks; days without a class yet and empty tables give no rows."""
+    days = pd.date_range("2020-01-01", periods=24).date
+    rows = [(t, day, float((k * 7 + j) % 5), float((k + j) % 2) if k > 8 else 0.0) for j, t in enumerate("abc") for k, day in enumerate(days)]
+    df = spark.createDataFrame(rows, "ticker string, date date, a double, label double")
+    out = MO.pooled_walk_forward(df, ["a"], [], "label", "logistic", 4, 3)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Union" not in plan
+    assert sorted({r.date for r in out.filter("role = 'eval'").collect()}) == list(days[10:])
+    empty = MO.pooled_walk_forward(df.limit(0), ["a"], [], "label", "logistic", 4, 3)
+    assert empty.collect() == [] and empty.columns == out.columns
+
+
 def test_rank_decisions_equals_sorting(spark):
     rng = np.random.default_rng(7)
     rows = [(f"t{k:03}", ("mua_ngay", "chờ", "x")[k % 3], None if k % 11 == 0 else float(rng.integers(-400, 400)) / 100) for k in range(300)]
