@@ -1,4 +1,16 @@
 """Operators of a training-data pipeline; nothing else in the library imports them."""
 
-from barloom.llm import byte_bpe, exact_dedup, html_text, licenses, lm_score, near_dedup, packing, quality, sharding, topk  # noqa: F401
+from barloom.llm import (  # noqa: F401
+    byte_bpe,
+    exact_dedup,
+    html_text,
+    licenses,
+    lm_score,
+    merkle,
+    near_dedup,
+    packing,
+    quality,
+    sharding,
+    topk,
+)
 from barloom.llm.common import ORACLES, QUERIES  # noqa: F401
