@@ -1,6 +1,7 @@
 """Operators of a training-data pipeline; nothing else in the library imports them."""
 
 from barloom.llm import (  # noqa: F401
+    alignment,
     byte_bpe,
     exact_dedup,
     html_text,
