@@ -3,6 +3,7 @@
 from barloom.llm import (  # noqa: F401
     alignment,
     byte_bpe,
+    embed_dedup,
     exact_dedup,
     html_text,
     licenses,
