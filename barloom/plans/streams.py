@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barloom.plans.registry import query, view
+from barloom.session import new_path
 from barloom.streaming import bars as SB
 
 
@@ -13,6 +14,59 @@ def streaming_bars(spark, d):
     return SB.run_upsert(SB.read_ticks(spark, f"{d}/events.parquet")).drop("last_at")
 
 
+view(
+    "v_deliveries",
+    """
+    select event_type ticker, case when event_id % 13 <> 0 then event_id end event_id, ts, value, user_id, k from (
+      select *, 1 k from events where event_id % 5 <> 4
+      union all select *, 2 from events where event_id % 5 = 4
+      union all select * replace (value + 1 as value), 2 from events where event_id % 5 <> 4 and event_id % 7 = 0 and event_id % 13 <> 0
+      union all select * replace (ts + interval 1 day as ts), 3 from events where event_id % 11 = 0
+      union all select * replace (ts - interval 20 minute as ts), 3 from events where event_id % 11 <> 0 and event_id % 17 = 0
+    )
+    """,
+)
+
+
+def deliveries(spark, d):
+    """Three deliveries of the events: most, then late ones and corrected values, then corrected times; some without ids."""
+    events = spark.read.schema(SB.EVENTS).parquet(f"{d}/events.parquet")
+    i = F.col("event_id")
+    late, first = events.filter(i % 5 == 4), events.filter(i % 5 != 4)
+    values = first.filter((i % 7 == 0) & (i % 13 != 0)).withColumn("value", F.col("value") + 1)
+    days = events.filter(i % 11 == 0).withColumn("ts", F.expr("ts + interval 1 day"))
+    times = events.filter((i % 11 != 0) & (i % 17 == 0)).withColumn("ts", F.expr("ts - interval 20 minute"))
+    return [x.withColumn("event_id", F.when(i % 13 != 0, i)) for x in (first, late.unionByName(values), days.unionByName(times))]
+
+
+@query(
+    "streaming_corrections",
+    """
+    with named as (
+      select ticker, event_id, unnest(arg_max({'ts': ts, 'value': value, 'user_id': user_id}, k)) from v_deliveries
+      where event_id is not null group by ticker, event_id
+    ),
+    t as (
+      select ticker, ts, event_id, cast(round(value * 100) as bigint) price, user_id % 10 + 1 size from named
+      union all
+      select ticker, ts, null, cast(round(value * 100) as bigint), user_id % 10 + 1 from v_deliveries where event_id is null
+    )
+    select ticker, time_bucket(interval '5 minutes', ts) bar_ts, max(price) high, min(price) low,
+      first(price order by ts, coalesce(event_id, 0)) open, first(price order by ts desc, coalesce(event_id, 0) desc) close,
+      cast(sum(size) as bigint) volume, cast(sum(price * size) as bigint) "value"
+    from t group by 1, 2
+    """,
+)
+def streaming_corrections(spark, d):
+    """Bars after three deliveries, each taken up by a call that goes on where the last one ended."""
+    folder = new_path(spark, "stream")
+    bars = None
+    for part in deliveries(spark, d):
+        part.write.mode("append").parquet(f"{folder}/in")
+        bars = SB.run_upsert(SB.read_ticks(spark, f"{folder}/in"), folder=f"{folder}/state")
+    return bars.drop("last_at")
+
+
 view(
     "v_rsi5",
     """

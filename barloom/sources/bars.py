@@ -20,7 +20,7 @@ def packed_sequence(*parts: tuple[Column | str, int]) -> Column:
     for column, digits in parts:
         rest -= digits
         column = F.col(column) if isinstance(column, str) else column
-        scaled = (column.cast(f"decimal({digits},0)") * F.lit(10**rest).cast(f"decimal({rest + 1},0)")) if rest else column.cast(f"decimal({digits},0)")
+        scaled = (column.cast(f"decimal({digits},0)") * F.lit(str(10**rest)).cast(f"decimal({rest + 1},0)")) if rest else column.cast(f"decimal({digits},0)")
         out = scaled if out is None else out + scaled
     return out.cast("decimal(38,0)")
 
