@@ -18,6 +18,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain, compress
 
 import numpy as np
 import public_tokenizers
@@ -33,8 +34,10 @@ from barloom.llm.word_tokens import _byte_letters
 BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Ends of the shorter list that are searched side by side.
 DRIVEN = 4096
+#: Characters of units that the library codes as one text.
+CODED_TOGETHER = 10_000
 #: Token ids of units that a worker remembers; then it starts anew.
-REMEMBERED = 3_000_000
+REMEMBERED = 4_000_000
 #: Most distinct pairs that every task gets (16 bytes each, 64 MB).
 SENT_PAIRS = 1 << 22
 
@@ -113,18 +116,30 @@ class Vocabulary:
         self._start = np.cumsum(self.size) - self.size
         self._data = np.frombuffer(b"".join(tokens), np.uint8)
 
-    def joined(self, ids: np.ndarray) -> bytes:
-        return self._data[spans(self._start[ids], self.size[ids])].tobytes()
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        return self._data[spans(self._start[ids], self.size[ids])]
+
+    def gives(self, ids: np.ndarray, counts: np.ndarray, wanted: list[bytes]) -> np.ndarray:
+        """Whether the tokens of each of several runs of ids are the wanted bytes."""
+        sizes = np.fromiter(map(len, wanted), np.int64, len(wanted))
+        total = np.concatenate([[0], np.cumsum(self.size[ids])])
+        ends = np.cumsum(counts)
+        same = total[ends] - total[ends - counts] == sizes
+        differ = np.flatnonzero(self.joined(ids[np.repeat(same, counts)]) != np.frombuffer(b"".join(compress(wanted, same)), np.uint8))
+        which = np.flatnonzero(same)
+        same[which[np.searchsorted(np.cumsum(sizes[which]), differ, "right")]] = False
+        return same
 
 
 class Units:
     """Both encodings of units and their alignment, each made once.
 
     For a unit: whether both sides give its bytes again, the numbers of tokens, groups and links,
-    its links as packed pairs, and its groups as text.
+    its links as packed pairs, and if wanted its groups as text.
     """
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, with_groups: bool = True):
+        self._with_groups = with_groups
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
@@ -143,6 +158,7 @@ class Units:
             p = self._b.id_to_piece(i)
             pieces.append(bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace("▁", " ").encode())
         self.vocabulary_b = Vocabulary(pieces)
+        self._blank = [self._b.piece_to_id("▁")]
         self.generation = 0
         self._forget()
 
@@ -189,25 +205,43 @@ class Units:
             self._learn(values[new], [bytes(view[a:b]) for a, b in zip(begin[one[new]].tolist(), end[one[new]].tolist())])
         return self._place[np.searchsorted(self._hash, hashes)], np.searchsorted(begin, at)
 
-    def _encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self._a.encode_batch(units, add_special_tokens=False)]
+    def _encode_a(self, units: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units one after the other, and how many each has.
+
+        Units go to the library as longer texts, since none of its tokens runs from other characters
+        into the white space of the next unit; units that end in white space go by themselves.
+        """
+        texts, part, size = [], [], 0
+        for u in units:
+            if u[-1].isspace():
+                texts += ["".join(part), u]
+                part, size = [], 0
+                continue
+            part.append(u)
+            size += len(u)
+            if size > CODED_TOGETHER:
+                texts.append("".join(part))
+                part, size = [], 0
+        texts.append("".join(part))
+        ids = np.fromiter(chain.from_iterable(e.ids for e in self._a.encode_batch(texts, add_special_tokens=False)), np.int64)
+        ends, wanted = np.cumsum(self.vocabulary_a.size[ids]), np.cumsum(sizes)
+        upto = np.searchsorted(ends, wanted, "right")
+        if (ends[upto - 1] == wanted).all() and len(ends) == upto[-1]:
+            return ids, np.diff(upto, prepend=0)
+        each = [e.ids for e in self._a.encode_batch(units, add_special_tokens=False)]  # tokens that are not the bytes
+        return np.fromiter(chain.from_iterable(each), np.int64), np.fromiter(map(len, each), np.int64)
+
+    def _encode_b(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         # the library puts a blank before all but empty texts; it is a piece of its own before a tab or line feed
-        b = self._b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        blank = [self._b.piece_to_id("▁")]
-        return a, [blank if u == " " else ids if u[0] == " " else ids[1:] for u, ids in zip(units, b)]
+        each = self._b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
+        each = [self._blank if u == " " else ids if u[0] == " " else ids[1:] for u, ids in zip(units, each)]
+        return np.fromiter(chain.from_iterable(each), np.int64), np.fromiter(map(len, each), np.int64)
 
     def _learn(self, hashes: np.ndarray, raw: list[bytes]) -> None:
-        a, b = self._encode([r.decode() for r in raw])
-        n_a, n_b = np.array(list(map(len, a)), np.int64), np.array(list(map(len, b)), np.int64)
-        flat_a, flat_b = np.array([i for x in a for i in x], np.int64), np.array([i for x in b for i in x], np.int64)
-        to_a, to_b = np.cumsum(n_a), np.cumsum(n_b)
-        fine = np.array(
-            [
-                self.vocabulary_a.joined(flat_a[ea - na : ea]) == r and self.vocabulary_b.joined(flat_b[eb - nb : eb]) == r
-                for r, ea, na, eb, nb in zip(raw, to_a.tolist(), n_a.tolist(), to_b.tolist(), n_b.tolist())
-            ],
-            bool,
-        )
+        units = [r.decode() for r in raw]
+        flat_a, n_a = self._encode_a(units, np.fromiter(map(len, raw), np.int64, len(raw)))
+        flat_b, n_b = self._encode_b(units)
+        fine = self.vocabulary_a.gives(flat_a, n_a, raw) & self.vocabulary_b.gives(flat_b, n_b, raw)
         flat_a, flat_b = flat_a[np.repeat(fine, n_a)], flat_b[np.repeat(fine, n_b)]
         n_a, n_b = n_a * fine, n_b * fine
         # all units as one text, in which each unit's last byte is an end of both
@@ -215,13 +249,17 @@ class Units:
         to_a = np.cumsum(n_a)
         n_groups = np.diff(np.searchsorted(cut_a, np.concatenate([[0], to_a]), "right"))
         n_links = np.diff(np.searchsorted(link_a, np.concatenate([[0], to_a])))
-        words_a, words_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        groups, pa_, pb = [], 0, 0
-        for ca, cb in zip(cut_a.tolist(), cut_b.tolist()):
-            groups.append(f"{','.join(words_a[pa_:ca])}|{','.join(words_b[pb:cb])}")
-            pa_, pb = ca, cb
-        ends = np.cumsum(n_groups)
-        self.groups += [";".join(groups[e - n : e]) for e, n in zip(ends.tolist(), n_groups.tolist())]
+        if self._with_groups:
+            words_a, words_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
+            groups, i, j = [], 0, 0
+            for to_i, to_j in zip(cut_a.tolist(), cut_b.tolist()):
+                if to_i == i + 1 and to_j == j + 1:
+                    groups.append(f"{words_a[i]}|{words_b[j]}")
+                else:
+                    groups.append(f"{','.join(words_a[i:to_i])}|{','.join(words_b[j:to_j])}")
+                i, j = to_i, to_j
+            ends = np.cumsum(n_groups)
+            self.groups += [";".join(groups[e - n : e]) for e, n in zip(ends.tolist(), n_groups.tolist())]
         self._from = np.concatenate([self._from, len(self._links) + np.cumsum(n_links) - n_links])
         self._links = np.concatenate([self._links, pack(flat_a[link_a], flat_b[link_b])])
         order = np.argsort(np.concatenate([self._hash, hashes]), kind="stable")
@@ -242,8 +280,8 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 @cache
-def _units(path_a: str, path_b: str) -> Units:
-    return Units(path_a, path_b)
+def _units(path_a: str, path_b: str, with_groups: bool = True) -> Units:
+    return Units(path_a, path_b, with_groups)
 
 
 def _weighted(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,7 +292,7 @@ def _weighted(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _count(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A batch's links summed by pair."""
-        units = _units(path_a, path_b)
+        units = _units(path_a, path_b, False)
         for batch in batches:
             pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
             for begin, size in steps(batch.column(0)):
