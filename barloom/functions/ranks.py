@@ -20,8 +20,13 @@ _STEPS = 1024
 
 
 def value_bucket(x: Column) -> Column:
-    """Non-decreasing map of a double to a bucket number (log-linear, both signs)."""
-    return F.floor(F.asinh(x.cast("double") * 1e6) * _STEPS)
+    """Non-decreasing map of a double to a bucket number (log-linear, both signs).
+
+    The sign is kept apart: for large negative numbers the logarithm within asinh would cancel.
+    """
+    x = x.cast("double")
+    size = F.floor(F.asinh(F.abs(x) * 1e6) * _STEPS)
+    return F.when(x < 0, -size).otherwise(size)
 
 
 def running_totals(

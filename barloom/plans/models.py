@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barloom.operators import expanding as EX
 from barloom.operators import features as FE
 from barloom.operators import intraday as D
 from barloom.operators import metrics as ME
@@ -134,46 +135,46 @@ def touch_classifier(spark, d):
 POOLED = "ret5 ret20 ret60 dist20 dist50 vol_ratio20 rel20 rel60 rel20_rank rel60_rank corr20 beta20 sector_breadth20 sector_rank".split()
 
 
+def outperform_rows(spark, d):
+    panel, _, _ = parts(spark, d)
+    rows = P.feature_panel(panel).withColumn(
+        "label", F.when(F.col("excess10").isNotNull(), (F.col("excess10") > 0).cast("double"))
+    )
+    return rows.filter("dist50 is not null").select("ticker", "sector", "date", "label", "excess10", *POOLED)
+
+
 @query("pooled_outperform")
 def pooled_outperform(spark, d, min_train: int = 80, every: int = 5):
     """Pooled logistic walk-forward: will an instrument beat the index over ten days.
 
-    Refitted every ``every`` days from ``min_train`` days on.
+    Refitted every ``every`` days from ``min_train`` days on, all refits in shared passes.
     """
-    panel, _, _ = parts(spark, d)
-    rows = P.feature_panel(panel).withColumn(
-        "label", F.when(F.col("excess10").isNotNull(), (F.col("excess10") > 0).cast("double"))
-    )
-    rows = rows.filter("dist50 is not null").select("ticker", "sector", "date", "label", "excess10", *POOLED)
-    out = MO.pooled_walk_forward(rows, POOLED, ["sector"], "label", "logistic", min_train, every)
+    out = EX.expanding_logistic(outperform_rows(spark, d), POOLED, ["sector"], "label", min_train, every)
     return rounded(out.select("ticker", "date", "role", "label", "prob"), digits=4)
 
 
 @query("pooled_outperform_boosted")
 def pooled_outperform_boosted(spark, d, min_train: int = 80, every: int = 10):
     """The boosted challenger of the same job."""
-    panel, _, _ = parts(spark, d)
-    rows = P.feature_panel(panel).withColumn(
-        "label", F.when(F.col("excess10").isNotNull(), (F.col("excess10") > 0).cast("double"))
-    )
-    rows = rows.filter("dist50 is not null").select("ticker", "sector", "date", "label", "excess10", *POOLED)
-    out = MO.pooled_walk_forward(rows, POOLED, ["sector"], "label", "boosted", min_train, every)
+    out = MO.pooled_walk_forward(outperform_rows(spark, d), POOLED, ["sector"], "label", "boosted", min_train, every)
     return rounded(out.select("ticker", "date", "role", "label", "prob"), digits=4)
 
 
+MARKET = ["i_ret5", "i_ret20", "i_range20", "breadth20", "breadth50", "positive5", "dispersion20", "median_rel20", "mean_corr20"]
+
+
 @query("market_direction")
 def market_direction(spark, d, horizons: tuple = (5, 10), min_train: int = 80, every: int = 5):
     """Direction of the index over five and ten days, walk-forward, with UP and DOWN calls.
 
-    Refitted every ``every`` days from ``min_train`` days on.
+    Refitted every ``every`` days from ``min_train`` days on, all refits of a horizon in shared passes.
     """
     panel, sectors, idx = parts(spark, d)
-    features = ["i_ret5", "i_ret20", "i_range20", "breadth20", "breadth50", "positive5", "dispersion20", "median_rel20", "mean_corr20"]
     rows = cut_lineage(P.market_panel(panel, sectors, idx))
     out = None
     for h in horizons:
         ahead = F.col(f"i_fwd{h}")
-        known = rows.withColumn("label", F.when(ahead.isNotNull(), (ahead > 0).cast("double"))).select("date", "label", *features)
-        one = MO.pooled_walk_forward(known, features, [], "label", "logistic", min_train, every).withColumn("horizon", F.lit(h))
+        known = rows.withColumn("label", F.when(ahead.isNotNull(), (ahead > 0).cast("double"))).select("date", "label", *MARKET)
+        one = EX.expanding_logistic(known, MARKET, [], "label", min_train, every).withColumn("horizon", F.lit(h))
         out = one if out is None else out.unionByName(one)
     return rounded(out.select("date", "horizon", "role", "label", "prob").withColumn("call", MO.direction_call(F.col("prob"))), digits=4)

@@ -132,3 +132,10 @@ def test_safe_values(spark):
     df = spark.createDataFrame([("1.5",), ("nan",), ("",), ("inf",), ("x",), ("2.5",)], "t string")
     assert [r[0] for r in df.select(X.safe_double(F.col("t"))).collect()] == [1.5, None, None, None, None, 2.5]
     assert [r[0] for r in df.select(X.round_or_null(F.col("t"), 0)).collect()] == [2.0, None, None, None, None, 2.0]
+
+
+def test_value_buckets_never_fall(spark):
+    draw = np.random.default_rng(3)
+    x = np.sort(np.concatenate([draw.normal(0, 10.0**k, 300) for k in range(-8, 12)]))
+    rows = spark.createDataFrame([(float(v),) for v in x], "x double").select("x", RK.value_bucket(F.col("x")).alias("b")).orderBy("x").collect()
+    assert (np.diff([r.b for r in rows]) >= 0).all() and len({r.b for r in rows}) > 1000
