@@ -6,7 +6,7 @@ group is small whatever the data volume. Pooled models use Spark ML on the whole
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -63,7 +63,7 @@ def grouped_forecast(
     min_train: int,
     every: int | None = None,
     holdout: int | Callable[[int], int] | None = None,
-    train_last: int | None = None,
+    train_last: int | Mapping[str, int | None] | None = None,
     fit: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray] = ridge,
     order: str = "date",
     carry: Sequence[str] = (),
@@ -74,13 +74,17 @@ def grouped_forecast(
     several rows a day. With ``every`` the model is refitted before each block of that many days
     on strictly earlier ones, from ``min_train`` days on (walk-forward); with ``holdout`` the last
     days (a number, or a function of the number of days) are kept out once. ``train_last`` slices
-    every training set to its last days. The rows of the latest day are scored by a fit on all
+    every training set to its last days; a mapping of names to such numbers (None for all days) gives
+    rows for each, with its name as ``variant``. The rows of the latest day are scored by a fit on all
     earlier labelled rows. Groups that are too short give no rows. Output: keys, order column,
     role (``eval`` or ``current``), ``carry`` columns of the row, targets, ``pred_`` columns.
     """
     keys, features, targets = list(keys), list(features), list(targets)
+    named = isinstance(train_last, Mapping)
+    variants = dict(train_last) if named else {"": train_last}
     schema = T.StructType(
         [rows.schema[c] for c in (*keys, order, *carry)]
+        + [T.StructField("variant", T.StringType())] * named
         + [T.StructField("role", T.StringType())]
         + [T.StructField(c, T.DoubleType()) for t in targets for c in (t, f"pred_{t}")]
     )
@@ -103,28 +107,30 @@ def grouped_forecast(
             if n >= min_train + out:
                 spans = [(n - out, n)]
 
-        def before(day: int) -> np.ndarray:
-            return labelled[first[max(0, day - train_last) if train_last else 0] : first[day]]
+        def before(day: int, last: int | None) -> np.ndarray:
+            return labelled[first[max(0, day - last) if last else 0] : first[day]]
 
         parts = []
 
-        def emit(index: np.ndarray, predicted: np.ndarray, role: str) -> None:
+        def emit(index: np.ndarray, predicted: np.ndarray, role: str, variant: str) -> None:
             part = pdf.loc[index, [*keys, order, *carry]].copy()
             part["role"] = role
+            part["variant"] = variant
             for j, t in enumerate(targets):
                 part[t] = y[index, j]
                 part[f"pred_{t}"] = predicted.reshape(len(index), -1)[:, j]
             parts.append(part)
 
-        for start, end in spans:
-            train, test = before(start), labelled[first[start] : first[end]]
-            if len(train) and len(test) and _varied(fit, y[train]):
-                emit(test, fit(x[train], _target(fit, y[train]), x[test]), "eval")
-        if spans:
-            last = np.flatnonzero(moments == moments[-1])
-            train = before(int(np.searchsorted(days, moments[-1])))
-            if len(train) and _varied(fit, y[train]):
-                emit(last, fit(x[train], _target(fit, y[train]), x[last]), "current")
+        for variant, last in variants.items():
+            for start, end in spans:
+                train, test = before(start, last), labelled[first[start] : first[end]]
+                if len(train) and len(test) and _varied(fit, y[train]):
+                    emit(test, fit(x[train], _target(fit, y[train]), x[test]), "eval", variant)
+            if spans:
+                newest = np.flatnonzero(moments == moments[-1])
+                train = before(int(np.searchsorted(days, moments[-1])), last)
+                if len(train) and _varied(fit, y[train]):
+                    emit(newest, fit(x[train], _target(fit, y[train]), x[newest]), "current", variant)
         if not parts:
             return pd.DataFrame(columns=[f.name for f in schema.fields])
         return pd.concat(parts, ignore_index=True)[[f.name for f in schema.fields]]
@@ -160,7 +166,7 @@ def preprocessing(features: Sequence[str], categories: Sequence[str]) -> list:
 
     filled = [f"{f}__in" for f in features]
     stages = [
-        Imputer(strategy="median", inputCols=list(features), outputCols=filled),
+        Imputer(strategy="median", relativeError=0.0, inputCols=list(features), outputCols=filled),
         VectorAssembler(inputCols=filled, outputCol="_num"),
         StandardScaler(withMean=True, withStd=True, inputCol="_num", outputCol="_std"),
     ]

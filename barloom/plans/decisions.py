@@ -96,8 +96,8 @@ def shared_inputs(spark, d):
     return bars, people, ohlc, timing
 
 
-def ladder_parts(spark, d, people, ohlc, timing_rows):
-    """(base, ladder, current timing) from shared inputs."""
+def ladder_parts(spark, d, people, ohlc, timing_rows, variants=PX.NAIVE_VARIANTS):
+    """(base, ladder, current timing) from shared inputs; ``variants`` are the models blended for the range."""
     closes = people.select("ticker", F.col("ref").alias("_c"))
     now = cut_lineage(PX.current_timing(spark, d, timing_rows).join(closes, "ticker")
     )
@@ -105,7 +105,7 @@ def ladder_parts(spark, d, people, ohlc, timing_rows):
         "ticker", (F.col("pred_low_price") / UNIT).alias("low_t1"), (F.col("pred_close_price") / UNIT).alias("close_t1"),
         F.col("pred_close_ret").alias("forecast_ret"),
     )
-    blend = PX.blended(spark, d, ohlc)
+    blend = PX.blended(spark, d, ohlc, variants)
     lows = blend.groupBy("ticker").agg(
         *[F.max(F.when(F.col("horizon") == h, F.col("blend_low") / UNIT)).alias(f"low_t{h}") for h in (5, 10)]
     )
@@ -303,7 +303,10 @@ view("v_watch", "select *, case when d0 = 'mua_ngay' and (crowded and zone_statu
 def candidate_watchlist(spark, d):
     """Scores and decisions over snapshot, playbook, timing, forecasts, ladder and overlays."""
     bars, people, ohlc, timing = shared_inputs(spark, d)
-    base, ladder, prices = ladder_parts(spark, d, people, ohlc, timing)
+    return watchlist(spark, d, bars, people, *ladder_parts(spark, d, people, ohlc, timing))
+
+
+def watchlist(spark, d, bars, people, base, ladder, prices):
     indicators = cut_lineage(TR.playbook_indicators(bars))
     configs = TR.catalogue_table(spark)
     labels = TR.label_trades(indicators, configs)
@@ -355,7 +358,10 @@ def candidate_watchlist(spark, d):
 )
 def verdicts(spark, d):
     _, people, ohlc, timing = shared_inputs(spark, d)
-    base, ladder, prices = ladder_parts(spark, d, people, ohlc, timing)
+    return verdicts_of(people, *ladder_parts(spark, d, people, ohlc, timing))
+
+
+def verdicts_of(people, base, ladder, prices):
     best = prices.filter("net_edge is not null").groupBy("ticker").agg(
         F.max("net_edge").alias("best_edge"), F.max(F.when(F.col("horizon") == 10, F.col("net_edge"))).alias("edge10")
     )

@@ -497,15 +497,20 @@ view(
 )
 
 
-def blended(spark, d, rows=None):
+#: Models that stand for the variants fitted on all and on recent days.
+NAIVE_VARIANTS = ("trailing_mean", "last_known")
+
+
+def blended(spark, d, rows=None, variants=NAIVE_VARIANTS):
     """Range forecasts of the two variants blended by horizon."""
     rows = rows if rows is not None else cut_lineage(ohlc_forecasts(spark, d))
     latest = ME.first_per_key(rows, ["ticker", "horizon", "model"], [F.desc("date")]).select(
         "ticker", "horizon", "model", F.col("pred_low_price").alias("low"), F.col("pred_close_price").alias("mid"), F.col("pred_high_price").alias("high")
     )
     w = T.recent_weight(F.col("horizon"))
-    recent = latest.filter("model = 'last_known'").withColumns({"recent_weight": w, "full_weight": 1 - w})
-    return ME.blend_variants(latest.filter("model = 'trailing_mean'"), recent, ["low", "mid", "high"])
+    full, recent = (latest.filter(F.col("model") == v) for v in variants)
+    recent = recent.withColumns({"recent_weight": w, "full_weight": 1 - w})
+    return ME.blend_variants(full, recent, ["low", "mid", "high"])
 
 
 @query("range_variant_blend", f"select ticker, horizon, {rd(['blend_low', 'blend_mid', 'blend_high'], 1)} from v_blend")

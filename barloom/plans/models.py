@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barloom.operators import candidates as CA
 from barloom.operators import expanding as EX
 from barloom.operators import features as FE
 from barloom.operators import intraday as D
@@ -53,37 +54,62 @@ def next_session_forecast(spark, d):
     )
 
 
+#: Training days of the variants; None for all earlier ones.
+VARIANTS = {"full": None, "recent": 252, "quarter": 63}
+ACTUALS = ["base_close", "forecast_date", "actual_open", "actual_high", "actual_low", "actual_close"]
+
+
+def range_race(spark, d, bars=None, horizons=tuple(range(1, 11)), variants=VARIANTS, features=None):
+    """Ridge and forest forecasts of the next days' open, close and wicks, three variants, last 30 days held out."""
+    bars = bars if bars is not None else I.bars_table(spark, d)
+    labels = T.horizon_targets(bars, max(horizons)).filter(F.col("horizon").isin(*horizons))
+    features = features if features is not None else sample(spark, d, bars)
+    rows = cut_lineage(features.join(labels, ["ticker", "date"]))
+    return cut_lineage(CA.race(rows, ["ticker", "horizon"], FE.BASE, OHLC, variants, 30, 20, ACTUALS))
+
+
+def chosen_now(predicted, keys, targets, weights=None):
+    """Current rows of the best candidate per key, with its held-out error."""
+    best = CA.choose(CA.held_out_errors(predicted, [*keys, "variant", "model"], targets, weights), keys, ["model", "variant"])
+    now = predicted.filter("role = 'current'").drop("role", *targets)
+    return best.select(*keys, "model", "variant", "eval_rows", "error").join(now, [*keys, "model", "variant"])
+
+
 @query("range_forecast")
-def range_forecast(spark, d, recent: int = 252, quarter: int = 63):
-    """Current forecasts by horizon of three variants that differ in their training rows.
+def range_forecast(spark, d):
+    """Best of two models and three variants by held-out error, per instrument and each of ten horizons, with its current forecast."""
+    return rounded(chosen_now(range_race(spark, d), ["ticker", "horizon"], OHLC).drop(*ACTUALS[1:]), digits=4)
 
-    The full variant trains on all earlier days, the others on the last ``recent`` and ``quarter``
-    ones; all are fitted and held out on the same history.
-    """
-    rows = cut_lineage(ohlc_rows(spark, d, (1, 5, 10)))
-    parts = [
-        MO.grouped_forecast(rows, ["ticker", "horizon"], FE.BASE, OHLC, 20, holdout=30, train_last=last)
-        .filter("role = 'current'").drop(*OHLC).withColumn("variant", F.lit(name))
-        for name, last in (("full", None), ("recent", recent), ("quarter", quarter))
-    ]
-    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), digits=4)
+
+EXCURSIONS = ["peak", "peak_day", "drawdown", "close_ret"]
+# Weights of the errors in the choice of a timing and of a cycle forecast.
+TIMING_WEIGHTS = {"peak": 1.0, "peak_day": 0.15, "drawdown": 0.5, "close_ret": 0.5}
+CYCLE_WEIGHTS = {"peak": 1.0, "peak_day": 0.15, "drawdown": 0.5}
+
+
+def timing_race(spark, d, bars=None, horizons=(3, 5, 10), variants=VARIANTS, features=None):
+    bars = bars if bars is not None else I.bars_table(spark, d)
+    features = features if features is not None else sample(spark, d, bars)
+    rows = features.join(T.excursion_samples(bars, horizons), ["ticker", "date"]).join(bars.select("ticker", "date", "close"), ["ticker", "date"])
+    return cut_lineage(CA.race(cut_lineage(rows), ["ticker", "horizon"], FE.BASE, EXCURSIONS, variants, 40, 80, ["close"]))
 
 
 @query("timing_forecast")
 def timing_forecast(spark, d):
-    """Peak, day, drawdown and close within 3, 5 and 10 sessions."""
-    bars = I.bars_table(spark, d)
-    rows = sample(spark, d, bars).join(T.excursion_samples(bars, (3, 5, 10)), ["ticker", "date"])
-    out = MO.grouped_forecast(rows, ["ticker", "horizon"], FE.BASE, ["peak", "peak_day", "drawdown", "close_ret"], 120, holdout=40)
-    return rounded(out.filter("role = 'current'").drop("peak", "peak_day", "drawdown", "close_ret"), digits=4)
+    """Peak, day, drawdown and close within 3, 5 and 10 sessions: the best of two models and three variants, 40 days held out."""
+    return rounded(chosen_now(timing_race(spark, d), ["ticker", "horizon"], EXCURSIONS, TIMING_WEIGHTS).drop("close"), digits=4)
+
+
+def cycle_race(spark, d, bars=None, variants=VARIANTS):
+    bars = bars if bars is not None else I.bars_table(spark, d)
+    rows = sample(spark, d, bars).join(T.cycle_samples(bars), ["ticker", "date"])
+    return cut_lineage(CA.race(cut_lineage(rows), ["ticker", "months"], FE.BASE, EXCURSIONS[:3], variants, 40, 80))
 
 
 @query("cycle_forecast")
 def cycle_forecast(spark, d):
-    bars = I.bars_table(spark, d)
-    rows = sample(spark, d, bars).join(T.cycle_samples(bars), ["ticker", "date"])
-    out = MO.grouped_forecast(rows, ["ticker", "months"], FE.BASE, ["peak", "peak_day", "drawdown"], 120, holdout=40)
-    return rounded(out.filter("role = 'current'").drop("peak", "peak_day", "drawdown"), digits=4)
+    """Peak, day and drawdown within one to six months: the best of two models and three variants, 40 days held out."""
+    return rounded(chosen_now(cycle_race(spark, d), ["ticker", "months"], EXCURSIONS[:3], CYCLE_WEIGHTS), digits=4)
 
 
 @query("rest_of_session_forecast")

@@ -11,6 +11,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+#: The statements before their sub-selects are put in front.
+STATEMENTS: dict[str, str] = {}
 _VIEWS: dict[str, str] = {}
 
 
@@ -19,16 +21,24 @@ def view(name: str, sql: str) -> None:
     _VIEWS[name] = sql.strip()
 
 
-def with_views(sql: str) -> str:
-    """Prefix the statement with the named sub-selects it needs, in order of definition."""
+def view_text(name: str) -> str:
+    return _VIEWS[name]
+
+
+def with_views(sql: str, replaced: dict[str, str] | None = None) -> str:
+    """Prefix the statement with the named sub-selects it needs, in order of definition.
+
+    ``replaced`` gives other texts for some of them, such as a table of stored scores.
+    """
+    views = _VIEWS | (replaced or {})
     needed: set[str] = set()
     pending = [sql]
     while pending:
         words = set(re.findall(r"\w+", pending.pop()))
-        for name in words & _VIEWS.keys() - needed:
+        for name in words & views.keys() - needed:
             needed.add(name)
-            pending.append(_VIEWS[name])
-    parts = [f"{name} as ({_VIEWS[name]})" for name in _VIEWS if name in needed]
+            pending.append(views[name])
+    parts = [f"{name} as ({views[name]})" for name in views if name in needed]
     body = sql.strip()
     if not parts:
         return body
@@ -46,6 +56,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
         QUERIES[name] = fn
         if sql is not None:
+            STATEMENTS[name] = sql
             ORACLES[name] = with_views(sql)
         return fn
 

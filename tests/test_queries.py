@@ -20,13 +20,17 @@ QUICK = (
 #: Queries that SQL cannot express, and the unit test that holds each one's operator against brute force.
 WITHOUT_SQL = {
     **dict.fromkeys(
-        "ohlc_walk_forward next_session_forecast range_forecast timing_forecast cycle_forecast rest_of_session_forecast".split(),
-        "test_operators.test_grouped_ridge_matches_normal_equations",
+        "ohlc_walk_forward next_session_forecast rest_of_session_forecast".split(), "test_operators.test_grouped_ridge_matches_normal_equations"
     ),
-    **dict.fromkeys("color_classifier touch_classifier".split(), "test_operators.test_grouped_forecast_by_days"),
+    **dict.fromkeys("range_forecast timing_forecast cycle_forecast".split(), "test_chain.test_race_chooses_by_held_out_error"),
     **dict.fromkeys(
-        "pooled_outperform pooled_outperform_boosted market_direction".split(), "test_operators.test_pooled_walk_forward_sees_the_past_only"
+        "model_metrics_by_ticker entry_ladder_from_models verdicts_from_models watchlist_from_models".split(),
+        "test_chain.test_chain_equals_sql_over_stored_scores",
     ),
+    **dict.fromkeys("color_classifier touch_classifier".split(), "test_operators.test_grouped_forecast_by_days"),
+    "pooled_outperform": "test_model_queries.test_pooled_outperform_equals_separate_fits",
+    "market_direction": "test_model_queries.test_market_direction_equals_separate_fits",
+    "pooled_outperform_boosted": "test_operators.test_pooled_walk_forward_sees_the_past_only",
     "floors_then_allocation": "test_operators.test_allocation_equals_round_by_round_filling",
 }
 NAMES = list(plans.QUERIES) if os.environ.get("BARLOOM_ALL") else QUICK
