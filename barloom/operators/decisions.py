@@ -589,6 +589,108 @@ def core_tranches(ladder: DataFrame) -> DataFrame:
     )
 
 
+# Burst guidance by which a small reserve follows the price, and its share with and without adding on strength.
+FOLLOWED = ("respect_day2_followthrough", "keep_core_trim_selectively")
+FAILED = ("failed_followthrough", "failed_day2_followthrough")
+
+
+def session_blueprint(ladder: DataFrame, context: DataFrame) -> DataFrame:
+    """A session's buy tranches per instrument in five roles; shares add to 100.
+
+    The core is the best three historical limit prices (any, if there are none). Where the price
+    stands over 2 % above it and the instrument may be bought into weakness or strength, part of
+    the share goes to a bridge, the lowest ladder price above the core, and to a continuation
+    reserve at the lowest grid price above it. ``context`` has a row per ticker: last, ask1, above1,
+    weakness, strength, signal_age, guide_bias, guide_trim. Output: ticker, role, limit_price,
+    entry_rank, share_pct, base_score, floor_pct.
+    """
+    old = F.col("anchor_class").isin("historical", "mixed")
+    whole = Window.partitionBy("ticker")
+    rows = ladder.select("ticker", "limit_price", "anchor_class", "entry_rank", "price_rank", "entry_score", "fill")
+    rows = rows.withColumn("_any", F.max(old).over(whole)).filter(~F.col("_any") | old)
+    rows = rows.withColumns(
+        {
+            "_core": F.row_number().over(whole.orderBy("entry_rank", "price_rank")) <= 3,
+            "_score": F.greatest(F.coalesce("entry_score", F.lit(0.0)), F.lit(0.0)),
+            "_fill": F.greatest(F.coalesce("fill", F.lit(0.0)), F.lit(0.0)),
+        }
+    )
+    rows = rows.withColumns(
+        {"_high": F.max(F.when(F.col("_core"), F.col("limit_price"))).over(whole), "_core_fill": F.max(F.when(F.col("_core"), F.col("_fill"))).over(whole)}
+    )
+    # a row per instrument from here on: the core as an array, and the first ladder price above it
+    level = F.struct("limit_price", "entry_rank", "_score", "_fill")
+    each = rows.groupBy("ticker").agg(
+        F.max("_high").alias("core_high"),
+        F.max("_core_fill").alias("core_fill"),
+        F.max(F.when(F.col("_core"), F.col("_score"))).alias("core_score"),
+        F.array_sort(F.collect_list(F.when(F.col("_core"), level)), lambda a, b: F.signum(b["limit_price"] - a["limit_price"]).cast("int")).alias("core"),
+        F.min(F.when(F.col("limit_price") > F.col("_high"), level)).alias("bridge"),
+    ).join(context, "ticker")
+    above = [F.when(F.col(c) > F.greatest("core_high", F.lit(0.0)), F.col(c)) for c in ("ask1", "above1")]
+    failed, high_trim, strong = F.col("guide_bias").isin(*FAILED), F.col("guide_trim") == "high", F.col("strength")
+    each = each.withColumn("reserve", F.least(*above)).withColumn(
+        "_gate", F.coalesce((F.col("weakness") | strong) & (F.col("core_high") > 0) & (F.col("last") > F.col("core_high") * 1.02), F.lit(False))
+    )
+    reserve = (
+        F.when(F.col("guide_bias").isin(*FOLLOWED), F.when(strong, 9.0).otherwise(7.0))
+        .when(F.col("guide_bias") == "normal_tactical_management", F.when(strong, 7.0).otherwise(5.5))
+        .when(failed & F.col("weakness"), 4.0)
+        .otherwise(0.0)
+    )
+    reserve = F.least(F.when(high_trim, F.greatest(reserve - 0.5, F.lit(0.0))).otherwise(reserve), F.lit(10.0))
+    each = each.withColumn("_reserve_pct", F.when(F.col("_gate") & (F.col("reserve") <= F.col("last") * 1.02), reserve).otherwise(0.0))
+    bridge = (
+        F.lit(7.5)
+        + F.when(F.col("signal_age") <= 1, 1.5).otherwise(0.0)
+        + F.when(F.col("bridge._fill") - F.col("core_fill") >= 15, 1.0).otherwise(0.0)
+        + F.when((F.col("last") / F.col("core_high") - 1) * 100.0 >= 4, 1.0).otherwise(0.0)
+        + F.when(high_trim & failed, 0.5).otherwise(0.0)
+    )
+    each = each.withColumn("_bridge_pct", F.when(F.col("_gate") & F.col("bridge").isNotNull(), F.least(bridge, F.lit(10.0))).otherwise(0.0))
+    each = each.withColumn("_left", F.greatest(100.0 - F.col("_reserve_pct") - F.col("_bridge_pct"), F.lit(0.0)))
+    raw = F.transform("core", lambda x: x["_score"] * (1 + 0.015 * F.least(x["_fill"], F.lit(100.0))) / F.sqrt(F.greatest(x["entry_rank"], F.lit(1))))
+    each = each.withColumn("_raw", raw).withColumn("_total", F.aggregate("_raw", F.lit(0.0), lambda a, x: a + x))
+    share = F.transform(
+        "_raw",
+        lambda x: F.bround(F.when(F.col("_total") > 0, F.col("_left") * x / non_zero("_total")).otherwise(F.col("_left") / F.size("_raw")), 2),
+    )
+    each = each.withColumn("_share", share)
+    drift = F.bround(100.0 - F.bround("_reserve_pct", 2) - F.bround("_bridge_pct", 2) - F.aggregate("_share", F.lit(0.0), lambda a, x: a + x), 2)
+    each = each.withColumn("_drift", F.when(F.abs(drift) >= 0.01, drift).otherwise(0.0))
+
+    def row(role, price, rank, pct, score, floor):
+        parts = zip(("role", "limit_price", "entry_rank", "share_pct", "base_score", "floor_pct"), (role, price, rank, pct, score, floor))
+        return F.struct(*[x.cast(k).alias(n) for (n, x), k in zip(parts, ("string", "double", "long", "double", "double", "double"))])
+
+    reserve_score = F.greatest(F.col("core_score") * 0.72, F.lit(0.01)) * F.when(strong, 1.08).otherwise(1.0) * F.when(failed, 0.86).otherwise(1.0)
+    bridge_score = (
+        F.col("bridge._score") * (1 + 0.01 * F.least("bridge._fill", F.lit(100.0))) * F.when(strong, 0.92).otherwise(0.82) * F.when(high_trim, 0.92).otherwise(1.0)
+    )
+
+    def core(x, i):
+        last = i == F.size("core") - 1
+        pct = F.element_at("_share", i + 1)
+        role = F.when(i == 0, "shallow_core").when(i == 1, "mid_core").otherwise("deep_core")
+        score = x["_score"] * (1 + 0.015 * F.least(x["_fill"], F.lit(100.0)))
+        shallow = F.when(strong, 1.02).otherwise(0.95) * F.when(high_trim & failed, 0.92).otherwise(1.0)
+        deep = F.lit(1.08) * F.when(F.col("weakness"), 1.12).otherwise(1.0)
+        score = score * F.when(i == 0, shallow).when(i >= 2, deep).otherwise(1.0)
+        floor = F.when(F.col("weakness") & (i >= 2), F.least(F.greatest(pct * 0.35, F.lit(12.0)), pct)).otherwise(0.0)
+        return row(role, x["limit_price"], x["entry_rank"], F.bround(pct + F.when(last, F.col("_drift")).otherwise(0.0), 2), F.bround(score, 6), F.bround(floor, 2))
+
+    tranches = F.concat(
+        F.array_compact(
+            F.array(
+                F.when(F.col("_reserve_pct") > 0, row(F.lit("continuation_reserve"), F.col("reserve"), F.lit(0), F.bround("_reserve_pct", 2), F.bround(reserve_score, 6), F.lit(0.0))),
+                F.when(F.col("_bridge_pct") > 0, row(F.lit("bridge"), F.col("bridge.limit_price"), F.col("bridge.entry_rank"), F.bround("_bridge_pct", 2), F.bround(bridge_score, 6), F.lit(0.0))),
+            )
+        ),
+        F.transform("core", core),
+    )
+    return each.select("ticker", F.explode(tranches).alias("_t")).select("ticker", "_t.*")
+
+
 def allocate_with_caps(claims: DataFrame, budgets: DataFrame, book: str = "book") -> DataFrame:
     """Share each book's budget by score under caps, for all books at once.
 
@@ -628,3 +730,56 @@ def floors_first(claims: DataFrame, budgets: DataFrame, book: str = "book") -> D
     claim = rows.drop("budget", "_f").withColumns({"_full": F.col("cap"), "cap": F.col("cap") - F.col("floor_part")})
     out = allocate_with_caps(claim, rest, book)
     return out.withColumns({"allocated": F.col("allocated") + F.col("floor_part"), "cap": F.col("_full")}).drop("_full")
+
+
+def nested_caps(claims: DataFrame, groups: DataFrame, budgets: DataFrame, group: str, book: str = "book") -> DataFrame:
+    """Share each book's budget by score under caps of its claims and of groups of claims within it.
+
+    A group that reaches its cap stops at a level of its own; at that level its claims have what
+    then are their caps, and one level fills the book. ``groups`` has (group, group_cap); a group
+    without a row there, or with null, has no cap of its own. A group lies within one book.
+    """
+    limits = claims.groupBy(group).agg(F.sum("cap").alias("_all")).join(groups.select(group, "group_cap"), group, "left")
+    limits = limits.select(group, F.when(F.col("group_cap").isNull(), F.col("_all")).otherwise(F.greatest("group_cap", F.lit(0.0))).alias("budget"))
+    inner = allocate_with_caps(claims, limits, group).withColumns({"_cap": F.col("cap"), "cap": F.col("allocated")}).drop("allocated")
+    out = allocate_with_caps(inner, budgets, book)
+    return out.withColumn("cap", F.col("_cap")).drop("_cap")
+
+
+def floors_under_caps(claims: DataFrame, budgets: DataFrame, group: str, group_cap: str, book: str = "book") -> DataFrame:
+    """Floors first (scaled down where they exceed the book's budget), the rest by score under claim and group caps.
+
+    ``group_cap`` is a column of ``claims``, the same for all of a group; floors count towards it.
+    """
+    floors = claims.groupBy(book).agg(F.sum(F.least("floor", "cap")).alias("_f"))
+    factor = F.least(F.lit(1.0), F.col("budget") / non_zero("_f"))
+    rows = claims.join(floors, book).join(budgets, book).withColumn("floor_part", F.coalesce(F.least("floor", "cap") * factor, F.lit(0.0)))
+    rest = budgets.join(floors, book).select(book, F.greatest(F.col("budget") - F.col("_f"), F.lit(0.0)).alias("budget"))
+    left = rows.groupBy(group).agg(F.greatest(F.max(group_cap) - F.sum("floor_part"), F.lit(0.0)).alias("group_cap"))
+    rows = rows.drop("budget", "_f").withColumns({"_whole": F.col("cap"), "cap": F.col("cap") - F.col("floor_part")})
+    out = nested_caps(rows, left, rest, group, book)
+    return out.withColumns({"allocated": F.col("allocated") + F.col("floor_part"), "cap": F.col("_whole")}).drop("_whole")
+
+
+def tranche_scores(tranches: DataFrame, context: DataFrame) -> DataFrame:
+    """Tranches with their claim on the session's budget: ``score``, ``cap`` and ``floor`` in percent of the portfolio.
+
+    ``context`` has a row per ticker: session_cap, conviction, strength, weakness, guide_bias,
+    tape_bias, edge10. Tranches without a cap are left out.
+    """
+    near = F.col("role").isin("bridge", "continuation_reserve")
+    factors = (
+        (near & ~F.col("strength"), 0.88),
+        (near & F.col("guide_bias").isin(*FAILED), 0.86),
+        ((F.col("tape_bias") == "distribution") & (near | (F.col("role") == "shallow_core")), 0.9),
+        ((F.col("tape_bias") == "absorption") & near, 1.05),
+        (F.col("weakness") & (F.col("role") == "deep_core"), 1.12),
+        (near & (F.coalesce("edge10", F.lit(0.0)) < 0), 0.9),
+    )
+    score = F.greatest("base_score", F.lit(0.0)) * F.greatest("conviction", F.lit(0.1))
+    for when, factor in factors:
+        score = score * F.when(when, factor).otherwise(1.0)
+    cap = F.col("session_cap") * F.col("share_pct") / 100.0
+    rows = tranches.join(context, "ticker").withColumn("_cap", cap).filter("_cap > 0")
+    floor = F.least(F.col("_cap"), F.col("session_cap") * F.col("floor_pct") / 100.0)
+    return rows.withColumns({"score": F.greatest(score, F.lit(0.01)), "cap": F.bround("_cap", 4), "floor": F.when(F.col("floor_pct") > 0, floor).otherwise(0.0)}).drop("_cap")

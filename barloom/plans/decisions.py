@@ -16,7 +16,7 @@ from barloom.plans import metrics as PX
 from barloom.plans import trades as PT
 from barloom.plans.panel import rd
 from barloom.plans.registry import query, view
-from barloom.plans.snapshot import _down, _down_sel, clamp_sql, rounded, snap_sql
+from barloom.plans.snapshot import _down, _down_sel, _up, _up_sel, clamp_sql, rounded, snap_sql
 from barloom.operators import trades as TR
 from barloom.session import cut_lineage
 from barloom.sources import bars as B
@@ -171,11 +171,6 @@ view(
 )
 
 
-@query("session_tranches", 'select ticker, role_ "role", limit_price, entry_rank, share_pct from v_tranches')
-def session_tranches(spark, d):
-    return D.core_tranches(ladder_of(spark, d)[1])
-
-
 view(
     "v_plan",
     f"""
@@ -607,7 +602,29 @@ def capped_allocation(spark, d):
     return out.select("book", "item", "score", "cap", F.round("allocated", 6).alias("allocated"))
 
 
-@query("floors_then_allocation")
+def _level_sql(src: str, by: str, budget: str) -> str:
+    """Water level of every ``by`` over claims (score, cap): null where all caps fit."""
+    return f"""
+    select {by}, case when n_open > 0 then (budget - done) / nullif(coalesce(left_, tot), 0) end lvl from (
+      select {by}, max(budget) budget, coalesce(max(case when is_full then cc end), 0) done, min(case when is_full then left_ end) left_, max(tot) tot, count(case when not is_full then 1 end) n_open
+      from (select *, cc + r * left_ <= budget is_full from (
+        select {by}, cap / score r, sum(cap) over w cc, sum(score) over (partition by {by}) - sum(score) over w left_, sum(score) over (partition by {by}) tot, budget
+        from {src} join {budget} using ({by}) where score > 0 and cap > 0
+        window w as (partition by {by} order by cap / score range between unbounded preceding and current row))) group by 1)
+    """
+
+
+view("v_floors", "select c.*, least(floor_, cap) * least(1, budget / nullif(sum(least(floor_, cap)) over (partition by book), 0)) part, greatest(budget - sum(least(floor_, cap)) over (partition by book), 0) rest from v_claims c join v_budgets using (book)")
+view("v_frest", "select book, item, score, cap - part cap, part, cap whole from v_floors")
+view("v_fbudget", "select book, max(rest) budget from v_floors group by 1")
+view("v_flevel", _level_sql("v_frest", "book", "v_fbudget"))
+
+
+@query(
+    "floors_then_allocation",
+    """select book, item, whole cap, part floor_part, round(part + case when score > 0 and cap > 0 then greatest(least(cap, coalesce(lvl * score, cap)), 0) else 0 end, 6) allocated
+    from v_frest left join v_flevel using (book)""",
+)
 def floors_then_allocation(spark, d):
     """Mandatory floors first, then the rest by score under what is left of the caps."""
     rows = claims(spark, d)
@@ -616,6 +633,181 @@ def floors_then_allocation(spark, d):
     return out.select("book", "item", "cap", "floor_part", F.round("allocated", 6).alias("allocated"))
 
 
+view("v_nclaims", "select sector, book, item, score, cap from v_claims join v_inst on ticker = book")
+view("v_ngroups", "select book, sum(cap) * case when book < 'K' then 0.3 else 0.8 end budget from v_nclaims group by book")
+view("v_nlevel", _level_sql("v_nclaims", "book", "v_ngroups"))
+view("v_ninner", "select sector, book, item, score, cap whole, case when score > 0 and cap > 0 then greatest(least(cap, coalesce(lvl * score, cap)), 0) else 0 end cap from v_nclaims left join v_nlevel using (book)")
+view("v_nbudgets", "select sector, sum(whole) * 0.4 budget from v_ninner group by 1")
+view("v_nouter", _level_sql("v_ninner", "sector", "v_nbudgets"))
+
+
+@query(
+    "nested_caps_allocation",
+    """select sector, book, item, score, whole cap, round(case when score > 0 and cap > 0 then greatest(least(cap, coalesce(lvl * score, cap)), 0) else 0 end, 6) allocated
+    from v_ninner left join v_nouter using (sector)""",
+)
+def nested_caps_allocation(spark, d):
+    """Every sector's budget over its suppliers by traded size, under caps of suppliers and of nations."""
+    rows = claims(spark, d).join(I.instruments(spark, d).select(F.col("ticker").alias("book"), "sector"), "book")
+    rows = cut_lineage(rows.select("sector", "book", "item", "score", "cap"))
+    caps = rows.groupBy("book").agg((F.sum("cap") * F.when(F.col("book") < "K", 0.3).otherwise(0.8)).alias("group_cap"))
+    budgets = rows.groupBy("sector").agg((F.sum("cap") * 0.4).alias("budget"))
+    out = D.nested_caps(rows, caps, budgets, "book", "sector")
+    return out.select("sector", "book", "item", "score", "cap", F.round("allocated", 6).alias("allocated"))
+
+
+# Session plan --------------------------------------------------------------------------
+view("v_above", f"with {_up} {_up_sel}")
+view(
+    "v_sctx",
+    f"""
+    select c.ticker, c.last, {clamp_sql(snap_sql('(c.last + c.tick)'), 'b.floor_', 'b.ceil_')} ask1, above1, signal_age, guide_bias, guide_trim, conviction, edge10, best_edge, archetype, target_min, target_max, bias tape_bias,
+      archetype in ({', '.join(f"'{a[0]}'" for a in D.ARCHETYPES if a[2])}) and sector_regime <> 'laggard' weakness,
+      archetype in ({', '.join(f"'{a[0]}'" for a in D.ARCHETYPES if a[1])}) and coalesce(best_edge > 0, false) strength,
+      greatest(quantity, 0) * c.last / sum(greatest(quantity, 0) * c.last) over () * 100 weight
+    from v_conv c join v_lbase b using (ticker) join v_above using (ticker) join v_guide using (ticker) join v_pos using (ticker)
+      join (select ticker, case when third_negative_pct >= 50 and not (signal_age <= 1 and not coalesce(next_positive_pct < 40, false)) then 'distribution' else 'absorption' end bias from v_burst) using (ticker)
+    """,
+)
+view(
+    "v_blue0",
+    """
+    with c as (select ticker, limit_price, anchor_class, entry_rank, price_rank, greatest(coalesce(entry_score, 0), 0) sc, greatest(coalesce(fill, 0), 0) fl,
+        max(anchor_class in ('historical', 'mixed')) over (partition by ticker) any_old from v_ladder),
+    k as (select *, row_number() over (partition by ticker order by entry_rank, price_rank) <= 3 core from c where not any_old or anchor_class in ('historical', 'mixed')),
+    h as (select *, max(case when core then limit_price end) over (partition by ticker) core_high, max(case when core then fl end) over (partition by ticker) core_fill, max(case when core then sc end) over (partition by ticker) core_score from k),
+    b as (select * from h where limit_price > core_high qualify row_number() over (partition by ticker order by limit_price, entry_rank) = 1),
+    g as (select x.*, h.core_high, h.core_fill, h.core_score, b.limit_price b_price, b.entry_rank b_rank, b.sc b_sc, b.fl b_fl,
+        least(case when ask1 > greatest(h.core_high, 0) then ask1 end, case when above1 > greatest(h.core_high, 0) then above1 end) reserve,
+        coalesce((weakness or strength) and h.core_high > 0 and last > h.core_high * 1.02, false) gate
+      from (select distinct ticker, core_high, core_fill, core_score from h) h join v_sctx x using (ticker) left join b using (ticker)),
+    r as (select *, case when guide_bias in ('respect_day2_followthrough', 'keep_core_trim_selectively') then case when strength then 9.0 else 7.0 end
+        when guide_bias = 'normal_tactical_management' then case when strength then 7.0 else 5.5 end
+        when guide_bias in ('failed_followthrough', 'failed_day2_followthrough') and weakness then 4.0 else 0.0 end r0 from g)
+    select *, case when gate and reserve <= last * 1.02 then least(case when guide_trim = 'high' then greatest(r0 - 0.5, 0) else r0 end, 10) else 0 end reserve_pct,
+      case when gate and b_price is not null then least(7.5 + case when signal_age <= 1 then 1.5 else 0 end + case when b_fl - core_fill >= 15 then 1 else 0 end + case when (last / core_high - 1) * 100 >= 4 then 1 else 0 end
+        + case when guide_trim = 'high' and guide_bias in ('failed_followthrough', 'failed_day2_followthrough') then 0.5 else 0 end, 10) else 0 end bridge_pct
+    from r
+    """,
+)
+view(
+    "v_bluecore",
+    """
+    with c as (select *, max(anchor_class in ('historical', 'mixed')) over (partition by ticker) any_old from v_ladder),
+    k as (select *, row_number() over (partition by ticker order by entry_rank, price_rank) rn from c where not any_old or anchor_class in ('historical', 'mixed')),
+    r as (select ticker, limit_price, entry_rank, greatest(coalesce(entry_score, 0), 0) sc, least(greatest(coalesce(fill, 0), 0), 100) fl,
+        row_number() over (partition by ticker order by limit_price desc) pos, count(*) over (partition by ticker) n from k where rn <= 3),
+    w as (select r.*, x.* exclude (ticker), sc * (1 + 0.015 * fl) / sqrt(greatest(entry_rank, 1)) raw, greatest(100 - reserve_pct - bridge_pct, 0) left_ from r join v_blue0 x using (ticker)),
+    s as (select *, round_even(case when sum(raw) over (partition by ticker) > 0 then left_ * raw / nullif(sum(raw) over (partition by ticker), 0) else left_ / n end, 2) sh from w)
+    select *, round_even(100 - round_even(reserve_pct, 2) - round_even(bridge_pct, 2) - sum(sh) over (partition by ticker), 2) drift from s
+    """,
+)
+view(
+    "v_blue",
+    """
+    select ticker, 'continuation_reserve' role_, reserve limit_price, 0 entry_rank, round_even(reserve_pct, 2) share_pct,
+      greatest(core_score * 0.72, 0.01) * case when strength then 1.08 else 1 end * case when guide_bias in ('failed_followthrough', 'failed_day2_followthrough') then 0.86 else 1 end base_score, 0.0 floor_pct
+    from v_blue0 where reserve_pct > 0
+    union all
+    select ticker, 'bridge', b_price, b_rank, round_even(bridge_pct, 2),
+      b_sc * (1 + 0.01 * least(b_fl, 100)) * case when strength then 0.92 else 0.82 end * case when guide_trim = 'high' then 0.92 else 1 end, 0.0 from v_blue0 where bridge_pct > 0
+    union all
+    select ticker, case pos when 1 then 'shallow_core' when 2 then 'mid_core' else 'deep_core' end, limit_price, entry_rank,
+      round_even(sh + case when pos = n and abs(drift) >= 0.01 then drift else 0 end, 2),
+      sc * (1 + 0.015 * fl) * case pos when 1 then case when strength then 1.02 else 0.95 end * case when guide_trim = 'high' and guide_bias in ('failed_followthrough', 'failed_day2_followthrough') then 0.92 else 1 end
+        when 2 then 1 else 1.08 * case when weakness then 1.12 else 1 end end,
+      case when weakness and pos >= 3 then round_even(least(greatest(sh * 0.35, 12), sh), 2) else 0 end
+    from v_bluecore
+    """,
+)
+
+
+def session_inputs(spark, d):
+    """(ladder, a row per instrument with all that the session plan looks at)."""
+    rows, ladder = research_rows(spark, d)
+    rows = rows.withColumn("bias", F.when((F.col("third_negative_pct") >= 50) & ~F.coalesce((F.col("signal_age") <= 1) & ~F.col("squeeze_failure"), F.lit(False)), "distribution").otherwise("absorption"))
+    held = I.positions(spark, d).select("ticker", F.greatest("quantity", F.lit(0)).alias("quantity"))
+    rows = cut_lineage(D.burst_guidance(rows).join(held, "ticker"))
+    total = rows.agg(F.sum(F.col("quantity") * F.col("last")).alias("t"))
+    rows = rows.join(F.broadcast(total)).select(
+        "ticker", "last", "ask1", "above1", "signal_age", "guide_bias", "guide_trim", "conviction", "edge10", "best_edge", "archetype",
+        "target_min", "target_max", F.col("bias").alias("tape_bias"),
+        (F.col("on_weakness") & (F.col("sector_regime") != "laggard")).alias("weakness"),
+        (F.col("on_strength") & F.coalesce(F.col("best_edge") > 0, F.lit(False))).alias("strength"),
+        (F.col("quantity") * F.col("last") / F.nullif("t", F.lit(0.0)) * 100).alias("weight"),
+    )
+    return ladder, cut_lineage(rows)
+
+
+@query("session_tranches", "select ticker, role_ \"role\", limit_price, entry_rank, share_pct, round(base_score, 5) base_score, floor_pct from v_blue")
+def session_tranches(spark, d):
+    """Buy tranches in five roles: continuation reserve, bridge, and the core in three."""
+    out = D.session_blueprint(*session_inputs(spark, d))
+    return out.withColumns({"base_score": F.round("base_score", 5)})
+
+
+view(
+    "v_scap",
+    """
+    with g as (select *, greatest(target_min - weight, 0) to_min, greatest(target_max - weight, 0) to_max, archetype = 'special_situation' special,
+        guide_trim = 'high' or guide_bias in ('failed_followthrough', 'failed_day2_followthrough') failing from v_sctx),
+    r as (select *, greatest(to_max - to_min, 0) room from g),
+    c as (select *, least(case when weakness then to_min else 0 end + case when strength and room > 0 then least(room, greatest(to_max * 0.25, 2)) * case when best_edge > 1 then 1.1 else 1 end else 0 end, to_max) c0,
+      case when to_max > 0 then greatest(least(to_max * case when special or failing then 0.4 else 0.5 end, case when failing then 22.5 when special then 25.0 else 30.0 end, to_max), 0) else 0 end single_cap from r)
+    select *, greatest(case when weakness and c0 < least(to_max, 2) then least(to_max, greatest(c0, 2)) else c0 end, 0) session_cap from c
+    """,
+)
+view(
+    "v_sclaims",
+    """
+    select ticker, role_, limit_price, round_even(session_cap * share_pct / 100, 4) cap, case when floor_pct > 0 then least(session_cap * share_pct / 100, session_cap * floor_pct / 100) else 0 end floor_, single_cap,
+      greatest(greatest(case when role_ in ('shallow_core', 'mid_core', 'deep_core') then round_even(base_score, 6) else round_even(base_score, 6) end, 0) * greatest(conviction, 0.1)
+        * case when role_ in ('bridge', 'continuation_reserve') and not strength then 0.88 else 1 end
+        * case when role_ in ('bridge', 'continuation_reserve') and guide_bias in ('failed_followthrough', 'failed_day2_followthrough') then 0.86 else 1 end
+        * case when tape_bias = 'distribution' and role_ in ('bridge', 'continuation_reserve', 'shallow_core') then 0.9 else 1 end
+        * case when tape_bias = 'absorption' and role_ in ('bridge', 'continuation_reserve') then 1.05 else 1 end
+        * case when weakness and role_ = 'deep_core' then 1.12 else 1 end
+        * case when role_ in ('bridge', 'continuation_reserve') and coalesce(edge10, 0) < 0 then 0.9 else 1 end, 0.01) score
+    from v_blue join v_scap using (ticker) where session_cap * share_pct / 100 > 0
+    """,
+)
+view("v_sfloor", "select 1 book, *, least(floor_, cap) * least(1, 20.0 / nullif(sum(least(floor_, cap)) over (), 0)) part, greatest(20.0 - sum(least(floor_, cap)) over (), 0) rest from v_sclaims")
+view("v_srest", "select book, ticker, role_, limit_price, score, cap - part cap, cap whole, part, single_cap, rest from v_sfloor")
+view("v_sgroup", "select ticker, greatest(max(single_cap) - sum(part), 0) budget from v_srest group by 1")
+view("v_slevel", _level_sql("v_srest", "ticker", "v_sgroup"))
+view("v_sinner", "select * replace (case when cap > 0 then greatest(least(cap, coalesce(lvl * score, cap)), 0) else 0 end as cap) from v_srest left join v_slevel using (ticker)")
+view("v_sbudget", "select book, max(rest) budget from v_sinner group by 1")
+view("v_souter", _level_sql("v_sinner", "book", "v_sbudget").replace("lvl from", "lvl2 from"))
+
+
+@query(
+    "session_allocation",
+    """
+    select ticker, role_ "role", limit_price, round(score, 4) score, whole cap, round(part, 4) floor_part, round(part + case when cap > 0 then greatest(least(cap, coalesce(lvl2 * score, cap)), 0) else 0 end, 4) allocated
+    from v_sinner left join v_souter using (book)
+    """,
+)
+def session_allocation(spark, d, budget: float = 20.0):
+    """A session's budget (percent of the portfolio) over all tranches, under session and single-name caps, floors first."""
+    ladder, context = session_inputs(spark, d)
+    to_min, to_max = (F.greatest(F.col(c) - F.col("weight"), F.lit(0.0)) for c in ("target_min", "target_max"))
+    context = cut_lineage(
+        context.withColumns(
+            {
+                "session_cap": D.session_cap(to_min, to_max, F.col("weakness"), F.col("strength"), F.col("best_edge"), F.lit(0.25), F.col("weakness")),
+                "single_cap": D.single_name_cap(to_max, F.col("archetype"), F.col("guide_trim"), F.col("guide_bias")),
+            }
+        )
+    )
+    tranches = D.session_blueprint(ladder, context)
+    claims = cut_lineage(D.tranche_scores(tranches, context).withColumn("book", F.lit(1)))
+    budgets = spark.createDataFrame([(1, float(budget))], "book int, budget double")
+    out = D.floors_under_caps(claims, budgets, "ticker", "single_cap")
+    return out.select(
+        "ticker", "role", "limit_price", F.round("score", 4).alias("score"), "cap", F.round("floor_part", 4).alias("floor_part"), F.round("allocated", 4).alias("allocated")
+    )
+
+
 @query(
     "archetype_parameters",
     """

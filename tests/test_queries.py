@@ -31,7 +31,6 @@ WITHOUT_SQL = {
     "pooled_outperform": "test_model_queries.test_pooled_outperform_equals_separate_fits",
     "market_direction": "test_model_queries.test_market_direction_equals_separate_fits",
     "pooled_outperform_boosted": "test_operators.test_pooled_walk_forward_sees_the_past_only",
-    "floors_then_allocation": "test_operators.test_allocation_equals_round_by_round_filling",
 }
 NAMES = list(plans.QUERIES) if os.environ.get("BARLOOM_ALL") else QUICK
 
