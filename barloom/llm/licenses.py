@@ -1,8 +1,9 @@
 """License scans in DataFrame functions only.
 
 A text is words (letters and digits, lower case), and five words in a row are a shingle. Windows
-of a quarter more words than a template, at steps that let any run of the template's length lie
-in one window whole, get MinHash signatures; each of ``BANDS`` bands is one coordinate. A window
+of half more words than a template, at steps of an eighth, get MinHash signatures, so a notice
+that foreign words have stretched by up to three eighths lies in one of them whole, wherever it
+stands; each of ``BANDS`` bands is one coordinate. A window
 that holds a template to 0.8 is at least 0.45 similar to it, so all bands miss it with a
 probability below 0.55 ** 24, one in a million. Windows that share a band with a template are
 verified: the share of the template's distinct shingles that the window has.
@@ -81,8 +82,7 @@ def signature(shingles: Column) -> Column:
 
 def window_of(words: int) -> tuple[int, int]:
     """Window length in words and step for a template of so many words."""
-    extra = max(1, words // 4)
-    return words + extra, extra + 1
+    return words + max(1, words // 2), words // 8 + 1
 
 
 def _plain_words(text: str) -> list[str]:
@@ -185,9 +185,9 @@ def check_sql(templates: dict[str, str] | None = None) -> str:
     values = ", ".join("('{}', '{}')".format(k, " ".join(_plain_words(t))) for k, t in templates.items())
     return rf"""
     with t as (select license, string_split(w, ' ') w from (values {values}) v(license, w)),
-    tm as (select license, w, len(w) m, greatest(1, len(w) // 4) extra from t),
+    tm as (select license, w, len(w) m, greatest(1, len(w) // 2) extra from t),
     tg as (
-      select distinct license, m, m + extra - {WIDTH - 1} span, extra + 1 step, array_to_string(w[i : i + {WIDTH - 1}], ' ') gram
+      select distinct license, m, m + extra - {WIDTH - 1} span, m // 8 + 1 step, array_to_string(w[i : i + {WIDTH - 1}], ' ') gram
       from (select *, unnest(range(1, greatest(m - {WIDTH - 2}, 2))) i from tm)
     ),
     d as (select doc_id, [x for x in string_split_regex(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+') if x <> ''] w from documents),

@@ -67,3 +67,16 @@ def test_needed_words_are_in_every_match(text):
     grams = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
     without = [g for g in grams if not L.needed_words(text).intersection(g)]
     assert len(without) < len(grams) * L.LEAST
+
+
+def test_edited_notices_are_found_at_every_offset(spark):
+    """A run of foreign words in the middle of a notice, at all start offsets of the window grid."""
+    rows, want = [], set()
+    for name, foreign in (("gpl-2.0", 12), ("gpl-3.0", 8), ("mpl-2.0", 12), ("isc", 12)):
+        w = L._plain_words(L.TEMPLATES[name])
+        edited = w[: len(w) // 2] + [f"foreign{k}" for k in range(foreign)] + w[len(w) // 2 :]
+        for offset in range(L.window_of(len(w))[1] + 2):
+            rows.append((len(rows), " ".join([f"before{k}" for k in range(offset)] + edited + [f"after{k}" for k in range(90)])))
+            want.add((rows[-1][0], name))
+    got = L.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert want <= {(r.doc_id, r.license) for r in got}
