@@ -7,7 +7,7 @@ rows can be stacked, scored and chosen by plain aggregates.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
@@ -22,7 +22,10 @@ MISSING = -1e9
 PARALLEL = 6
 
 
-def spans(labelled: DataFrame, by: str, order: str, holdout: int, last: int | None, newest) -> dict:
+Holdout = int | Callable[[int], int]
+
+
+def spans(labelled: DataFrame, by: str, order: str, holdout: Holdout, last: int | None, newest) -> dict:
     """For each ``by`` (``from``, ``cut``, ``now_from``): training starts and the first held-out day, over its labelled days.
 
     Days come to the driver, one list a value of ``by``.
@@ -30,16 +33,16 @@ def spans(labelled: DataFrame, by: str, order: str, holdout: int, last: int | No
     out = {}
     for r in labelled.groupBy(by).agg(F.sort_array(F.collect_set(order)).alias("days")).collect():
         days = r["days"]
-        if len(days) <= holdout:
+        cut = len(days) - (holdout(len(days)) if callable(holdout) else holdout)
+        if cut <= 0:
             continue
-        cut = len(days) - holdout
         known = [d for d in days if d < newest]
         out[r[by]] = (days[max(0, cut - last) if last else 0], days[cut], known[max(0, len(known) - last) if last else 0])
     return out
 
 
 def pooled_forest(
-    rows: DataFrame, keys: Sequence[str], features: Sequence[str], targets: Sequence[str], variants: Mapping[str, int | None], holdout: int,
+    rows: DataFrame, keys: Sequence[str], features: Sequence[str], targets: Sequence[str], variants: Mapping[str, int | None], holdout: Holdout,
     carry: Sequence[str] = (), order: str = "date", trees: int = 16, depth: int = 5,
 ) -> DataFrame:
     """Held-out (``eval``) and ``current`` predictions of one forest per target and variant over all keys.
@@ -136,3 +139,33 @@ def choose(errors: DataFrame, keys: Sequence[str], among: Sequence[str], error:
     """Of each key the row with the smallest error, ties by the names in ``among``; one aggregate."""
     rest = [c for c in errors.columns if c not in keys]
     return errors.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(error, *among)).alias("_r")).select(*keys, "_r.*")
+
+
+def fill_scores(predicted: DataFrame, keys: Sequence[str], target: str, prob: str) -> DataFrame:
+    """Of each key and model over its held-out rows: rows, positive rate, Brier loss, accuracy and their selection score.
+
+    Only keys whose held-out rows have both outcomes are scored; probabilities are kept off 0 and 1.
+    """
+    p = F.least(F.greatest(F.col(prob), F.lit(1e-6)), F.lit(1 - 1e-6))
+    y = F.col(target)
+    out = predicted.filter(F.col(target).isNotNull() & F.col(prob).isNotNull()).groupBy(*keys, "model").agg(
+        F.count(F.lit(1)).alias("eval_rows"),
+        F.avg(y).alias("positive_rate"),
+        F.avg((p - y) * (p - y)).alias("brier"),
+        F.avg(((p >= 0.5).cast("double") == y).cast("double")).alias("accuracy"),
+    )
+    out = out.filter((F.col("positive_rate") > 0) & (F.col("positive_rate") < 1))
+    return out.withColumn("selection_score", F.col("brier") + 1.0 - F.col("accuracy"))
+
+
+def choose_fill(wanted: DataFrame, scores: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The model with the least selection score for every wanted key (with its positive_rate), else ``heuristic_fallback``."""
+    best = choose(scores.withColumnRenamed("positive_rate", "held_rate"), keys, ["model"], "selection_score")
+    rows = wanted.select(*keys, "positive_rate").join(best, list(keys), "left")
+    return rows.withColumns(
+        {
+            "model": F.coalesce("model", F.lit("heuristic_fallback")),
+            "eval_rows": F.coalesce("eval_rows", F.lit(0).cast("long")),
+            "positive_rate": F.coalesce("held_rate", "positive_rate"),
+        }
+    ).select(*keys, "model", "eval_rows", "positive_rate", "brier", "accuracy", "selection_score")

@@ -139,21 +139,43 @@ def color_classifier(spark, d, horizons: tuple = (1, 3, 5, 10), min_train: int =
     return rounded(out, digits=4)
 
 
-@query("touch_classifier")
-def touch_classifier(spark, d):
-    """Touch probability by horizon and depth from depth and recent state; a heuristic where no model fits.
+def touch_race(spark, d):
+    """(labels, predictions): held-out and current touch probabilities of a logistic per instrument and horizon and a pooled forest.
 
-    One model per instrument and horizon learns from all depths of the grid; a quarter of its days,
-    15 to 40, is held out.
+    Both learn from all depths of the grid; a quarter of the days, 15 to 40, is held out.
     """
     bars = I.bars_table(spark, d)
     labels = cut_lineage(T.touch_labels(bars))
-    rows = sample(spark, d, bars).join(labels, ["ticker", "date"]).withColumn("depth_key", F.col("depth"))
+    rows = cut_lineage(sample(spark, d, bars).join(labels, ["ticker", "date"]).withColumn("depth_key", F.col("depth")))
     features = [*FE.BASE, "atr_pct", "entry_pct", "depth"]
-    out = MO.grouped_forecast(
+    own = MO.grouped_forecast(
         rows, ["ticker", "horizon"], features, ["touched"], 120, holdout=MO.fill_holdout, fit=MO.logistic, carry=["depth_key"]
+    ).withColumn("model", F.lit("logistic"))
+    pooled = CA.pooled_forest(rows, ["ticker", "horizon"], features, ["touched"], {"full": None}, MO.fill_holdout, ["depth_key"]).drop("variant")
+    return labels, cut_lineage(own.unionByName(pooled.withColumn("model", F.lit("forest"))))
+
+
+def fill_choice(labels, predicted):
+    keys = ["ticker", "horizon"]
+    scores = CA.fill_scores(predicted.filter("role = 'eval'"), keys, "touched", "pred_touched")
+    wanted = labels.groupBy(*keys).agg(F.avg("touched").alias("positive_rate"))
+    return CA.choose_fill(wanted, scores, keys)
+
+
+@query("fill_model_choice")
+def fill_model_choice(spark, d):
+    """The fill model of every instrument and horizon by Brier loss plus error rate on held-out days, or the fallback."""
+    return rounded(fill_choice(*touch_race(spark, d)), digits=4)
+
+
+@query("touch_classifier")
+def touch_classifier(spark, d):
+    """Touch probability by horizon and depth from the chosen model; the depth's base rate where none could be scored."""
+    labels, predicted = touch_race(spark, d)
+    best = fill_choice(labels, predicted).select("ticker", "horizon", "model")
+    current = predicted.filter("role = 'current'").join(best, ["ticker", "horizon", "model"]).select(
+        "ticker", "horizon", F.col("depth_key").alias("depth"), "model", F.least(F.greatest("pred_touched", F.lit(0.0)), F.lit(1.0)).alias("model_prob")
     )
-    current = out.filter("role = 'current'").select("ticker", "horizon", F.col("depth_key").alias("depth"), F.col("pred_touched").alias("model_prob"))
     base = labels.groupBy("ticker", "horizon", "depth").agg(F.avg("touched").alias("base_rate"))
     return rounded(MO.with_fallback(base, current, ["ticker", "horizon", "depth"], "model_prob", "base_rate"), digits=4)
 

@@ -88,3 +88,30 @@ def test_short_history_gives_no_forest(spark):
     df = spark.createDataFrame(race_rows(np.random.default_rng(3), 8), schema)
     assert CA.pooled_forest(df, ["ticker", "horizon"], ["x", "z"], ["y"], {"full": None}, 10).count() == 0
     assert CA.pooled_forest(df.limit(0), ["ticker", "horizon"], ["x", "z"], ["y"], {"full": None}, 10).count() == 0
+
+
+def test_fill_choice_equals_sql_over_stored_scores(spark, tmp_path):
+    import duckdb
+
+    draw = np.random.default_rng(9)
+    rows = [
+        (f"t{k % 7}", int(h), str(m), float(y if k % 7 else 1), None if draw.random() < 0.05 else float(np.clip(0.6 * y + draw.normal(0.2, 0.3), -0.1, 1.1)))
+        for k in range(900) for h, m, y in [(draw.integers(1, 3), draw.choice(["logistic", "forest"]), draw.integers(2))]
+    ]
+    df = spark.createDataFrame(rows, "ticker string, horizon int, model string, touched double, pred_touched double")
+    df.write.parquet(str(tmp_path / "scores"))
+    scores = CA.fill_scores(df, ["ticker", "horizon"], "touched", "pred_touched")
+    wanted = spark.createDataFrame([(f"t{k}", h, 0.5) for k in range(8) for h in (1, 2)], "ticker string, horizon int, positive_rate double")
+    got = sorted(tuple(r) for r in CA.choose_fill(wanted, scores, ["ticker", "horizon"]).collect())
+    want = duckdb.sql(
+        f"""
+        with p as (select *, least(greatest(pred_touched, 1e-6), 1 - 1e-6) p from '{tmp_path}/scores/*.parquet' where touched is not null and pred_touched is not null),
+        s as (select ticker, horizon, model, count(*) n, avg(touched) r, avg((p - touched) ** 2) b, avg(case when (p >= 0.5) = (touched = 1) then 1.0 else 0 end) a from p group by all having min(touched) < max(touched)),
+        c as (select * from s qualify row_number() over (partition by ticker, horizon order by b + 1 - a, model) = 1),
+        w as (select 't' || k ticker, h horizon from range(8) t(k), (values (1), (2)) v(h))
+        select w.ticker, w.horizon, coalesce(model, 'heuristic_fallback'), coalesce(n, 0), coalesce(r, 0.5), b, a, b + 1 - a from w left join c using (ticker, horizon) order by 1, 2
+        """
+    ).fetchall()
+    assert len(got) == len(want) == 16 and sum(r[2] == "heuristic_fallback" for r in got) == 4
+    for g, w in zip(got, want):
+        assert g[:4] == w[:4] and all(x is y is None or abs(x - y) < 1e-9 for x, y in zip(g[4:], w[4:]))

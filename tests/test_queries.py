@@ -27,7 +27,8 @@ WITHOUT_SQL = {
         "model_metrics_by_ticker entry_ladder_from_models verdicts_from_models watchlist_from_models".split(),
         "test_chain.test_chain_equals_sql_over_stored_scores",
     ),
-    **dict.fromkeys("color_classifier touch_classifier".split(), "test_operators.test_grouped_forecast_by_days"),
+    "color_classifier": "test_operators.test_grouped_forecast_by_days",
+    **dict.fromkeys("touch_classifier fill_model_choice".split(), "test_chain.test_fill_choice_equals_sql_over_stored_scores"),
     "pooled_outperform": "test_model_queries.test_pooled_outperform_equals_separate_fits",
     "market_direction": "test_model_queries.test_market_direction_equals_separate_fits",
     "pooled_outperform_boosted": "test_operators.test_pooled_walk_forward_sees_the_past_only",
