@@ -59,3 +59,23 @@ def freshness(expected: DataFrame, actual: DataFrame, key: str, at: str, value:
 def full_inputs_present(*tables: DataFrame | None) -> str:
     """``full`` when every optional layer is given, else ``core``."""
     return "full" if all(t is not None for t in tables) else "core"
+
+
+def with_layers(base: DataFrame, layers: dict[str, tuple[DataFrame | None, str]], keys: Sequence[str], mode: str = "auto") -> DataFrame:
+    """Left joins of optional layers (table or None, schema of its columns without the keys).
+
+    ``core`` joins none, ``full`` needs them all, ``auto`` joins those that are there; columns of a
+    layer that is not joined are null, so the result has the same columns in every mode.
+    """
+    if mode not in ("core", "full", "auto"):
+        raise ValueError(f"no such mode: {mode}")
+    absent = [name for name, (table, _) in layers.items() if table is None]
+    if mode == "full" and absent:
+        raise ValueError(f"full mode lacks layers: {', '.join(absent)}")
+    for table, schema in layers.values():
+        fields = T.StructType.fromDDL(schema).fields
+        if mode == "core" or table is None:
+            base = base.withColumns({f.name: F.lit(None).cast(f.dataType) for f in fields})
+        else:
+            base = base.join(table.select(*keys, *[F.col(f.name).cast(f.dataType) for f in fields]), list(keys), "left")
+    return base

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.session import cut_lineage
 from barloom.sources.bars import epoch_to_local_date
 
 BAR_CSV = T.StructType(
@@ -21,38 +24,53 @@ BAR_CSV = T.StructType(
 )
 
 
-def read_daily_csv(spark: SparkSession, folder: str, suffix: str = "_daily.csv") -> DataFrame:
-    """All per-instrument files of a folder in one scan; the file name gives the instrument."""
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+)" + suffix.replace(".", r"\.") + "$", 1)
-    raw = spark.read.csv(f"{folder}/*{suffix}", schema=BAR_CSV, header=True, mode="PERMISSIVE")
+#: Lines that do not fit the schema are kept as text in this column.
+REJECTED = "_rejected"
+
+
+def _read_bar_csv(spark: SparkSession, path: str, suffix: str) -> DataFrame:
+    """Bar files of any number of instruments in one scan; ``ticker`` comes from the file's metadata.
+
+    A file is called by its instrument (``AAA_daily.csv``) or lies in a folder of its own
+    (``ticker=AAA/...``).
+    """
+    schema = T.StructType([*BAR_CSV, T.StructField(REJECTED, T.StringType())])
+    raw = spark.read.csv(path, schema=schema, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED)
+    where = F.col("_metadata.file_path")
+    folder = F.regexp_extract(where, r"/ticker=([^/]+)/", 1)
+    name = F.regexp_extract(F.col("_metadata.file_name"), "^(.+)" + suffix.replace(".", r"\.") + "$", 1)
+    return raw.select(F.upper(F.when(folder != "", folder).otherwise(name)).alias("ticker"), *raw.columns)
+
+
+def _csv_path(folder: str, suffix: str, by_folder: bool) -> str:
+    return f"{folder}/ticker=*" if by_folder else f"{folder}/*{suffix}"
+
+
+def read_daily_csv(spark: SparkSession, folder: str, suffix: str = "_daily.csv", by_folder: bool = False) -> DataFrame:
+    """Daily bars of all per-instrument files of a folder; lines that do not fit are left out (see ``rejected_lines``)."""
+    raw = _read_bar_csv(spark, _csv_path(folder, suffix, by_folder), suffix)
     local = F.coalesce(F.to_date("date_vn"), epoch_to_local_date(F.col("t")))
-    return raw.select(
-        F.upper(name).alias("ticker"), local.alias("date"), "open", "high", "low", "close", "volume", "t"
-    )
+    return raw.filter(F.col(REJECTED).isNull()).select("ticker", local.alias("date"), "open", "high", "low", "close", "volume", "t")
+
+
+def rejected_lines(spark: SparkSession, folder: str, suffix: str = "_daily.csv", by_folder: bool = False) -> DataFrame:
+    """(ticker, t, line) of the lines that do not fit the schema, written once: the reader needs more than their text to tell them."""
+    raw = _read_bar_csv(spark, _csv_path(folder, suffix, by_folder), suffix)
+    return cut_lineage(raw.filter(F.col(REJECTED).isNotNull()).select("ticker", "t", F.col(REJECTED).alias("line")))
 
 
-def read_intraday_csv(spark: SparkSession, folder: str, suffix: str = "_5m.csv") -> DataFrame:
+def read_intraday_csv(spark: SparkSession, folder: str, suffix: str = "_5m.csv", by_folder: bool = False) -> DataFrame:
     """Intraday files: local timestamp and trading date, null volume as 0, rows without price dropped."""
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+)" + suffix.replace(".", r"\.") + "$", 1)
-    raw = spark.read.csv(f"{folder}/*{suffix}", schema=BAR_CSV, header=True)
+    raw = _read_bar_csv(spark, _csv_path(folder, suffix, by_folder), suffix)
     at = F.convert_timezone(
         F.current_timezone(),
         F.lit("Asia/Ho_Chi_Minh"),
         F.to_timestamp_ntz(F.timestamp_seconds("t").cast("string")),
     )
     return (
-        raw.filter(F.col("t").isNotNull() & F.col("close").isNotNull())
+        raw.filter(F.col("t").isNotNull() & F.col("close").isNotNull() & F.col(REJECTED).isNull())
         .withColumn("bar_ts", at)
-        .select(
-            F.upper(name).alias("ticker"),
-            "bar_ts",
-            F.to_date("bar_ts").alias("trade_date"),
-            "open",
-            "high",
-            "low",
-            "close",
-            F.coalesce("volume", F.lit(0.0)).alias("volume"),
-        )
+        .select("ticker", "bar_ts", F.to_date("bar_ts").alias("trade_date"), "open", "high", "low", "close", F.coalesce("volume", F.lit(0.0)).alias("volume"))
     )
 
 
@@ -74,3 +92,29 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.save(path)
+
+
+def prune_stale(spark: SparkSession, path: str, keep: DataFrame, keys: Sequence[str], partition: str) -> list:
+    """Delete from a written parquet table the rows whose keys ``keep`` lacks; returns the partitions touched.
+
+    Only partitions with stale rows are rewritten; one that has none left is removed. Null keys
+    equal nothing, so rows with one are stale.
+    """
+    stored = spark.read.parquet(path)
+    wanted = keep.select(*keys).distinct()
+    stale = stored.join(wanted, list(keys), "left_anti")
+    touched = [r[0] for r in stale.select(partition).distinct().collect()]  # partition values only
+    if not touched:
+        return []
+    own = F.col(partition).isin([v for v in touched if v is not None])
+    if None in touched:
+        own = own | F.col(partition).isNull()
+    kept = cut_lineage(stored.filter(own).join(wanted, list(keys), "left_semi"))
+    left = {r[0] for r in kept.select(partition).distinct().collect()}
+    kept.select(*stored.columns).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(partition).parquet(path)
+    for value in touched:
+        if value not in left:
+            name = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition}={name}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return touched

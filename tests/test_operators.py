@@ -403,3 +403,30 @@ def test_one_file_and_latest_rsi(spark, tmp_path):
     down = (-close.diff()).clip(lower=0).ewm(alpha=1 / 14, adjust=False).mean()
     assert abs(got["a"] - (100 - 100 / (1 + up / down)).iloc[-1]) < 1e-9
     assert got["b"] == 0.0 and got["c"] == 0.0
+
+
+def test_pruning_rewrites_touched_partitions_only(spark, tmp_path):
+    from barloom.sources import files as FS
+
+    path = str(tmp_path / "t")
+    rows = [("a", 1, 10), ("b", 1, 11), ("a", 2, 12), ("c", 3, 13), ("a", None, 14)]
+    spark.createDataFrame(rows, "k string, p int, v int").write.partitionBy("p").parquet(path)
+    before = {f.name for f in (tmp_path / "t" / "p=2").iterdir()}
+    keep = spark.createDataFrame([("a", 1), ("a", 2)], "k string, p int")
+    assert sorted(FS.prune_stale(spark, path, keep, ["k", "p"], "p"), key=str) == [1, 3, None]
+    assert sorted((r.k, r.p, r.v) for r in spark.read.parquet(path).collect()) == [("a", 1, 10), ("a", 2, 12)]
+    assert {f.name for f in (tmp_path / "t" / "p=2").iterdir()} == before
+    assert FS.prune_stale(spark, path, keep, ["k", "p"], "p") == []
+
+
+def test_layers_in_every_mode(spark):
+    from barloom.sources import checks as CK
+
+    base = spark.createDataFrame([("a",), ("b",)], "k string")
+    layers = {"x": (spark.createDataFrame([("a", 1)], "k string, v int"), "v bigint"), "y": (None, "w double")}
+    rows = lambda mode: sorted(map(tuple, CK.with_layers(base, layers, ["k"], mode).collect()))
+    assert rows("core") == [("a", None, None), ("b", None, None)] and rows("auto") == [("a", 1, None), ("b", None, None)]
+    with pytest.raises(ValueError, match="y"):
+        rows("full")
+    with pytest.raises(ValueError, match="mode"):
+        rows("other")
