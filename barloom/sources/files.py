@@ -34,12 +34,14 @@ def _read_bar_csv(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     A file is called by its instrument (``AAA_daily.csv``) or lies in a folder of its own
     (``ticker=AAA/...``).
     """
+    lines = spark.read.text(path).filter(~F.trim("value").startswith("t,") & (F.trim("value") != ""))  # no headers
+    # from text, since a line is to be judged by all its cells, whatever columns a query needs
     schema = T.StructType([*BAR_CSV, T.StructField(REJECTED, T.StringType())])
-    raw = spark.read.csv(path, schema=schema, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECTED)
-    where = F.col("_metadata.file_path")
-    folder = F.regexp_extract(where, r"/ticker=([^/]+)/", 1)
-    name = F.regexp_extract(F.col("_metadata.file_name"), "^(.+)" + suffix.replace(".", r"\.") + "$", 1)
-    return raw.select(F.upper(F.when(folder != "", folder).otherwise(name)).alias("ticker"), *raw.columns)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    cells = F.from_csv("value", ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED})
+    folder = F.regexp_extract("_metadata.file_path", r"/ticker=([^/]+)/", 1)
+    name = F.regexp_extract("_metadata.file_name", "^(.+)" + suffix.replace(".", r"\.") + "$", 1)
+    return lines.select(F.upper(F.when(folder != "", folder).otherwise(name)).alias("ticker"), cells.alias("_c")).select("ticker", "_c.*")
 
 
 def _csv_path(folder: str, suffix: str, by_folder: bool) -> str:
@@ -54,9 +56,9 @@ def read_daily_csv(spark: SparkSession, folder: str, suffix: str = "_daily.csv",
 
 
 def rejected_lines(spark: SparkSession, folder: str, suffix: str = "_daily.csv", by_folder: bool = False) -> DataFrame:
-    """(ticker, t, line) of the lines that do not fit the schema, written once: the reader needs more than their text to tell them."""
+    """(ticker, line) of the lines that do not fit the schema."""
     raw = _read_bar_csv(spark, _csv_path(folder, suffix, by_folder), suffix)
-    return cut_lineage(raw.filter(F.col(REJECTED).isNotNull()).select("ticker", "t", F.col(REJECTED).alias("line")))
+    return raw.filter(F.col(REJECTED).isNotNull()).select("ticker", F.col(REJECTED).alias("line"))
 
 
 def read_intraday_csv(spark: SparkSession, folder: str, suffix: str = "_5m.csv", by_folder: bool = False) -> DataFrame:
