@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from barloom.operators import expanding as EX
 from barloom.operators import metrics as ME
+from barloom.operators import panel as P
 from barloom.plans import decisions as DP
 from barloom.plans import inputs as I
 from barloom.plans import market as PM
 from barloom.plans import metrics as PX
 from barloom.plans import models as M
+from barloom.plans.panel import parts
 from barloom.plans.registry import query
 from barloom.plans.snapshot import rounded
 from barloom.session import cut_lineage
@@ -84,3 +87,44 @@ def verdicts_from_models(spark, d):
 def watchlist_from_models(spark, d):
     given = inputs(spark, d)
     return DP.watchlist(spark, d, given[0], given[1], *ladder(spark, d, *given))
+
+
+#: Nested feature sets of the lift study; each holds the one before.
+FEATURE_SETS = {
+    "baseline": ["ret5", "ret20", "ret60", "dist20", "dist50", "vol_ratio20"],
+    "relative": ["ret5", "ret20", "ret60", "dist20", "dist50", "vol_ratio20", "rel20", "rel60", "rel20_rank", "rel60_rank"],
+    "market": M.POOLED,
+}
+
+
+def lift_scores(spark, d, horizons=(5, 10), min_train: int = 80, every: int = 5):
+    """Walk-forward scores of one logistic per nested feature set on the same rows and blocks: will an instrument beat the index."""
+    panel, _, _ = parts(spark, d)
+    rows = cut_lineage(P.feature_panel(panel).filter("dist50 is not null").select("ticker", "sector", "date", "excess5", "excess10", *M.POOLED))
+    out = None
+    for h in horizons:
+        ahead = F.col(f"excess{h}")
+        known = rows.withColumns({"label": F.when(ahead.isNotNull(), (ahead > 0).cast("double")), "ret": ahead})
+        for name, features in FEATURE_SETS.items():
+            one = EX.expanding_logistic(known, features, ["sector"], "label", min_train, every).filter("role = 'eval'").select(
+                "ticker", "date", F.lit(h).alias("horizon"), "ret", F.col("label").cast("int").alias("y"), F.lit(f"{name}::logistic").alias("model"),
+                F.lit("baseline" if name == "baseline" else "challenger").alias("model_group"), "prob",
+            )
+            out = one if out is None else out.unionByName(one)
+    return cut_lineage(out)
+
+
+def lift_of(scores):
+    """Lift of every feature set over the baseline set, per horizon."""
+    summary = cut_lineage(ME.classification_metrics(scores, ["model", "model_group", "horizon"], "prob", "y", "ret"))
+    out = None
+    for h in [r[0] for r in summary.select("horizon").distinct().orderBy("horizon").collect()]:
+        one = ME.feature_set_lift(summary.filter(F.col("horizon") == h)).withColumn("horizon", F.lit(h))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("feature_set_lift_fitted")
+def feature_set_lift_fitted(spark, d):
+    """AUC, Brier loss and accuracy of fits on nested feature sets, and their lift over the first."""
+    return rounded(lift_of(lift_scores(spark, d)))

@@ -354,16 +354,17 @@ def touch_label_rates(spark, d):
     "recent_variant_slice",
     """
     with c as (select *, dense_rank() over (order by date desc) r from v_bars)
-    select ticker, 'full' variant, count(*) bars, min(date) first_date from c where r <= 252 group by 1
-    union all select ticker, 'recent', count(*), min(date) from c where r <= 63 group by 1
+    select ticker, 'full' variant, count(*) bars, min(date) first_date from c group by 1
+    union all select ticker, 'recent', count(*), min(date) from c where r <= 252 group by 1
+    union all select ticker, 'quarter', count(*), min(date) from c where r <= 63 group by 1
     """,
 )
 def recent_variant_slice(spark, d):
-    """Training slices of the last 252 and 63 trading dates, stacked with a variant label."""
+    """Training slices of all, the last 252 and the last 63 trading dates, stacked with a variant label."""
     bars = I.bars_table(spark, d)
     out = None
-    for name, n in (("full", 252), ("recent", 63)):
-        part = T.recent_dates(bars, n).groupBy("ticker").agg(
+    for name, n in (("full", None), ("recent", 252), ("quarter", 63)):
+        part = (T.recent_dates(bars, n) if n else bars).groupBy("ticker").agg(
             F.lit(name).alias("variant"), F.count(F.lit(1)).alias("bars"), F.min("date").alias("first_date")
         )
         out = part if out is None else out.unionByName(part)

@@ -115,3 +115,21 @@ def test_fill_choice_equals_sql_over_stored_scores(spark, tmp_path):
     assert len(got) == len(want) == 16 and sum(r[2] == "heuristic_fallback" for r in got) == 4
     for g, w in zip(got, want):
         assert g[:4] == w[:4] and all(x is y is None or abs(x - y) < 1e-9 for x, y in zip(g[4:], w[4:]))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
+def test_lift_equals_sql_over_stored_scores(spark, tmp_path):
+    scores = C.lift_scores(spark, SF, horizons=(5,))
+    scores.write.parquet(str(tmp_path / "scores"))
+    assert {r.model for r in scores.select("model").distinct().collect()} == {f"{n}::logistic" for n in C.FEATURE_SETS}
+    rows = scores.groupBy("model").count().collect()
+    assert len({r["count"] for r in rows}) == 1  # the same rows for every set
+    replaced = {"v_prob0": f"select * from read_parquet('{tmp_path}/scores/*.parquet')"}
+    got = rounded(C.lift_of(scores).filter("horizon = 5").drop("horizon"))
+    _, n, same, *_, note = compare(spark, duck(SF), "lift", lambda s, d: got, RG.with_views(RG.STATEMENTS["feature_set_lift"], replaced), SF)
+    assert same and n == 3, note
+
+
+def test_feature_sets_are_nested():
+    sets = list(C.FEATURE_SETS.values())
+    assert all(set(a) < set(b) for a, b in zip(sets, sets[1:]))

@@ -29,6 +29,7 @@ WITHOUT_SQL = {
     ),
     "color_classifier": "test_operators.test_grouped_forecast_by_days",
     **dict.fromkeys("touch_classifier fill_model_choice".split(), "test_chain.test_fill_choice_equals_sql_over_stored_scores"),
+    "feature_set_lift_fitted": "test_chain.test_lift_equals_sql_over_stored_scores",
     "pooled_outperform": "test_model_queries.test_pooled_outperform_equals_separate_fits",
     "market_direction": "test_model_queries.test_market_direction_equals_separate_fits",
     "pooled_outperform_boosted": "test_operators.test_pooled_walk_forward_sees_the_past_only",
