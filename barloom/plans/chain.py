@@ -80,7 +80,7 @@ def entry_ladder_from_models(spark, d):
 @query("verdicts_from_models")
 def verdicts_from_models(spark, d):
     given = inputs(spark, d)
-    return DP.verdicts_of(given[1], *ladder(spark, d, *given))
+    return DP.verdicts_of(spark, d, given[0], given[1], *ladder(spark, d, *given))
 
 
 @query("watchlist_from_models")

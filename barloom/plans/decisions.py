@@ -341,36 +341,6 @@ def watchlist(spark, d, bars, people, base, ladder, prices):
     )
 
 
-@query(
-    "verdicts",
-    """
-    with r as (select m.ticker, m.last, m.dist_sma20_pct dist, m.rsi14, l.forecast_ret, t.best_edge, t.edge10, e.limit_price zh, greatest(e.limit_price - 2 * m.tick, 0) zl, m.beta > 0 has_plan
-      from v_members m left join v_lbase l using (ticker) left join v_tbest t using (ticker) left join v_entry e using (ticker))
-    select ticker, case when has_plan and coalesce(last >= round_even(zl, 2) and last <= round_even(zh, 2), false) and best_edge > 0 and forecast_ret >= -0.5 then 'BUY_NOW'
-      when has_plan then 'RESTING_BUY_ONLY' when coalesce(dist >= 15 or rsi14 >= 74, false) or best_edge < 0 and edge10 < 0 or coalesce(dist >= 10 or rsi14 >= 68, false) and forecast_ret < 0 then 'NO_BUY_NOW'
-      when last > round_even(zh, 2) then 'WAIT_FOR_PULLBACK' else 'WATCH' end verdict from r
-    """,
-)
-def verdicts(spark, d):
-    _, people, ohlc, timing = shared_inputs(spark, d)
-    return verdicts_of(people, *ladder_parts(spark, d, people, ohlc, timing))
-
-
-def verdicts_of(people, base, ladder, prices):
-    best = prices.filter("net_edge is not null").groupBy("ticker").agg(
-        F.max("net_edge").alias("best_edge"), F.max(F.when(F.col("horizon") == 10, F.col("net_edge"))).alias("edge10")
-    )
-    rows = M.enrich(people, base.select("ticker", "forecast_ret"), best, D.best_entry(ladder).select("ticker", "limit_price"))
-    rows = rows.withColumns(
-        {
-            "zone_low": F.greatest(F.col("limit_price") - 2 * F.col("tick"), F.lit(0.0)),
-            "zone_high": F.col("limit_price"),
-            "has_plan": F.col("beta") > 0,
-        }
-    )
-    return D.verdict(rows).select("ticker", "verdict")
-
-
 @query(
     "state_in_words",
     "select ticker, date, case when w <> '' then w else 'neutral' end state from (select ticker, date, array_to_string(list_filter(["
@@ -428,9 +398,13 @@ view("v_conv", "select *, least(greatest(hi, target_min + 4), 40) target_max fro
 
 
 def research_rows(spark, d):
-    """Members with archetype, sector regime, timing, cycle outlook and conviction."""
+    """Members with archetype, sector regime, timing, cycle outlook and conviction; and the ladder."""
     bars, people, ohlc, timing = shared_inputs(spark, d)
     base, ladder, prices = ladder_parts(spark, d, people, ohlc, timing)
+    return researched(spark, d, bars, people, base, prices), ladder
+
+
+def researched(spark, d, bars, people, base, prices):
     eps = I.table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.avg("c_acctbal").alias("eps"))
     book = I.table(spark, d, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.avg("s_acctbal").alias("bvps"))
     facts = I.instruments(spark, d).join(eps, "n_nationkey", "left").join(book, "n_nationkey", "left").select("ticker", "eps", "bvps")
@@ -461,7 +435,7 @@ def research_rows(spark, d):
             "trim": F.lit("moderate"),
         }
     )
-    return D.conviction(rows), ladder
+    return D.conviction(rows)
 
 
 @query("sector_regime_labels", "select * from v_sreg")
@@ -725,6 +699,10 @@ view(
 def session_inputs(spark, d):
     """(ladder, a row per instrument with all that the session plan looks at)."""
     rows, ladder = research_rows(spark, d)
+    return ladder, session_context(spark, d, rows)
+
+
+def session_context(spark, d, rows):
     rows = rows.withColumn("bias", F.when((F.col("third_negative_pct") >= 50) & ~F.coalesce((F.col("signal_age") <= 1) & ~F.col("squeeze_failure"), F.lit(False)), "distribution").otherwise("absorption"))
     held = I.positions(spark, d).select("ticker", F.greatest("quantity", F.lit(0)).alias("quantity"))
     rows = cut_lineage(D.burst_guidance(rows).join(held, "ticker"))
@@ -736,7 +714,7 @@ def session_inputs(spark, d):
         (F.col("on_strength") & F.coalesce(F.col("best_edge") > 0, F.lit(False))).alias("strength"),
         (F.col("quantity") * F.col("last") / F.nullif("t", F.lit(0.0)) * 100).alias("weight"),
     )
-    return ladder, cut_lineage(rows)
+    return cut_lineage(rows)
 
 
 @query("session_tranches", "select ticker, role_ \"role\", limit_price, entry_rank, share_pct, round(base_score, 5) base_score, floor_pct from v_blue")
@@ -789,7 +767,14 @@ view("v_souter", _level_sql("v_sinner", "book", "v_sbudget").replace("lvl from",
 )
 def session_allocation(spark, d, budget: float = 20.0):
     """A session's budget (percent of the portfolio) over all tranches, under session and single-name caps, floors first."""
-    ladder, context = session_inputs(spark, d)
+    out = allocated(spark, *session_inputs(spark, d), budget)
+    return out.select(
+        "ticker", "role", "limit_price", F.round("score", 4).alias("score"), "cap", F.round("floor_part", 4).alias("floor_part"), F.round("allocated", 4).alias("allocated")
+    )
+
+
+def allocated(spark, ladder, context, budget: float = 20.0):
+    """The session's tranches with what the budget gives each."""
     to_min, to_max = (F.greatest(F.col(c) - F.col("weight"), F.lit(0.0)) for c in ("target_min", "target_max"))
     context = cut_lineage(
         context.withColumns(
@@ -802,10 +787,49 @@ def session_allocation(spark, d, budget: float = 20.0):
     tranches = D.session_blueprint(ladder, context)
     claims = cut_lineage(D.tranche_scores(tranches, context).withColumn("book", F.lit(1)))
     budgets = spark.createDataFrame([(1, float(budget))], "book int, budget double")
-    out = D.floors_under_caps(claims, budgets, "ticker", "single_cap")
-    return out.select(
-        "ticker", "role", "limit_price", F.round("score", 4).alias("score"), "cap", F.round("floor_part", 4).alias("floor_part"), F.round("allocated", 4).alias("allocated")
+    return D.floors_under_caps(claims, budgets, "ticker", "single_cap")
+
+
+view(
+    "v_splan",
+    """
+    select distinct ticker from v_sinner left join v_souter using (book)
+    where part + case when cap > 0 then greatest(least(cap, coalesce(lvl2 * score, cap)), 0) else 0 end > 0
+    """,
+)
+
+
+@query(
+    "verdicts",
+    """
+    with r as (select m.ticker, m.last, m.dist_sma20_pct dist, m.rsi14, l.forecast_ret, t.best_edge, t.edge10, e.limit_price zh, greatest(e.limit_price - 2 * m.tick, 0) zl, m.ticker in (select ticker from v_splan) has_plan
+      from v_members m left join v_lbase l using (ticker) left join v_tbest t using (ticker) left join v_entry e using (ticker))
+    select ticker, case when has_plan and coalesce(last >= round_even(zl, 2) and last <= round_even(zh, 2), false) and best_edge > 0 and forecast_ret >= -0.5 then 'BUY_NOW'
+      when has_plan then 'RESTING_BUY_ONLY' when coalesce(dist >= 15 or rsi14 >= 74, false) or best_edge < 0 and edge10 < 0 or coalesce(dist >= 10 or rsi14 >= 68, false) and forecast_ret < 0 then 'NO_BUY_NOW'
+      when last > round_even(zh, 2) then 'WAIT_FOR_PULLBACK' else 'WATCH' end verdict from r
+    """,
+)
+def verdicts(spark, d):
+    bars, people, ohlc, timing = shared_inputs(spark, d)
+    return verdicts_of(spark, d, bars, people, *ladder_parts(spark, d, people, ohlc, timing))
+
+
+def verdicts_of(spark, d, bars, people, base, ladder, prices):
+    """Verdicts; an instrument has a plan if the session's budget gives one of its tranches something."""
+    context = session_context(spark, d, researched(spark, d, bars, people, base, prices))
+    plans = allocated(spark, ladder, context).filter("allocated > 0").select("ticker", F.lit(True).alias("planned")).distinct()
+    best = prices.filter("net_edge is not null").groupBy("ticker").agg(
+        F.max("net_edge").alias("best_edge"), F.max(F.when(F.col("horizon") == 10, F.col("net_edge"))).alias("edge10")
+    )
+    rows = M.enrich(people, base.select("ticker", "forecast_ret"), best, D.best_entry(ladder).select("ticker", "limit_price"), plans)
+    rows = rows.withColumns(
+        {
+            "zone_low": F.greatest(F.col("limit_price") - 2 * F.col("tick"), F.lit(0.0)),
+            "zone_high": F.col("limit_price"),
+            "has_plan": F.coalesce("planned", F.lit(False)),
+        }
     )
+    return D.verdict(rows).select("ticker", "verdict")
 
 
 @query(

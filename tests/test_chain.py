@@ -35,7 +35,7 @@ def test_chain_equals_sql_over_stored_scores(spark, tmp_path):
     con = duck(SF)
     for name, made in (
         ("entry_ladder", rounded(parts[1], "limit_price")),
-        ("verdicts", DP.verdicts_of(people, *parts)),
+        ("verdicts", DP.verdicts_of(spark, SF, bars, people, *parts)),
         ("candidate_watchlist", DP.watchlist(spark, SF, bars, people, *parts)),
     ):
         columns, n, same, *_, note = compare(spark, con, name, lambda s, d, made=made: made, RG.with_views(RG.STATEMENTS[name], replaced), SF)
