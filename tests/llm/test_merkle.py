@@ -69,7 +69,7 @@ def doc(i, text, lang, source="s", n=1):
     return (i, text, lang, source, n, "g", "l", 3)
 
 
-@pytest.mark.parametrize("sizes", [[1], [1, 1], [8], [9, 1], [64, 65, 7], [700, 3]])
+@pytest.mark.parametrize("sizes", [[1], [8, 1], [64, 65, 9], [700, 3]])
 def test_equals_trees_node_by_node(spark, sizes):
     rows = [doc(100 * g + 7 * k, f"Text {k % 5} É", ["de", "en", None][g]) for g, n in enumerate(sizes) for k in range(n)]
     assert run(spark, rows) == brute(rows)
