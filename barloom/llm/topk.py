@@ -6,8 +6,9 @@ block of candidates in a task of its own, so a task holds at most about ``BLOCK`
 component. For a query the lists are read in step from their better end. A candidate's score
 lies between what has been read plus the worst that its unread lists can hold, and the same plus
 the values at which those lists stand. Reading stops when few candidates can still reach the
-k-th best lower bound; their scores are then resolved exactly. The k best of each block are
-merged by score, ties by smaller id.
+k-th best lower bound; their scores are then resolved exactly. Queries of a block go together:
+each round's bounds of all of them are matrix products. The k best of each block are merged by
+score, ties by smaller id.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from barloom.llm.common import cut_lineage, register, table
 
 BLOCK = 4096
 QUERIES = 1024
+#: Queries whose bounds are held at once.
+TOGETHER = 256
 SCALE = 1024
 #: Share of each list read before the bounds are looked at, round by round.
 ROUNDS = (0.25, 0.5, 0.7, 0.85, 1.0)
@@ -48,40 +51,52 @@ class Lists:
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[order], x[order]
-        self._up = np.argsort(self.x, axis=0, kind="stable")
-        self._values = np.take_along_axis(self.x, self._up, axis=0).astype(float)
+        self._floats = self.x.astype(float)
+        self._values = np.sort(self._floats, axis=0)
 
     def best(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best candidates other than query_id itself, best first."""
+        return self.best_of(np.array([query_id]), q[None], k)[0]
+
+    def best_of(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``best`` of each row of ``queries``.
+
+        How far a round reads a list is the same for all queries that read it from one end, so the
+        bounds of all of them are two matrix products a round.
+        """
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for first in range(0, len(queries), TOGETHER):
+            out += self._best_of(query_ids[first : first + TOGETHER], queries[first : first + TOGETHER], k)
+        return out
+
+    def _best_of(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         n, dims = self.x.shape
-        used = np.flatnonzero(q)
-        down = q[used] > 0
-        worth = q[used].astype(float)
-        others = self.ids != query_id
-        worst = np.minimum(worth * self._values[0, used], worth * self._values[-1, used])
-        read, sums = np.zeros((n, len(used))), np.zeros(n)
-        done, open_ = 0, np.flatnonzero(others)
-        for share in ROUNDS if len(used) else ():
-            upto = max(int(n * share), done + 1) if share < 1 else n
-            places = np.arange(done, min(upto, n))[:, None]
-            at = np.where(down, n - 1 - places, places)
-            who = self._up[at, used]
-            gain = self._values[at, used] * worth
-            read[who, np.arange(len(used))] = 1.0
-            sums += np.bincount(who.ravel(), gain.ravel(), minlength=n)
-            done = min(upto, n)
-            edge = gain[-1]
-            high = sums + (edge.sum() - read @ edge)
-            low = sums + (worst.sum() - read @ worst)
-            slack = 1e-9 * (1.0 + np.abs(edge).sum() + np.abs(worst).sum())  # for rounding of the bounds only
-            if others.sum() > k:
-                bar = np.partition(low[others], -k)[-k]
-                open_ = np.flatnonzero(others & (high + slack >= bar))
-            if done == n or len(open_) <= max(4 * k, n // 32):
+        out: list = [None] * len(queries)
+        weights = np.concatenate([np.maximum(queries, 0), np.minimum(queries, 0)], axis=1).astype(float)
+        bottom, top = self._values[0], self._values[-1]
+        # for rounding of the bounds only
+        slack = 1e-9 * (1.0 + np.abs(weights).sum(axis=1) + np.abs(weights) @ np.tile(np.maximum(np.abs(bottom), np.abs(top)), 2))
+        left = np.arange(len(queries))
+        for share in ROUNDS:
+            done = max(int(n * share), 1) if share < 1 else n
+            # where the lists stand: read downwards for positive weights, upwards for negative ones
+            down, up = self._values[n - done], self._values[done - 1]
+            high = weights[left] @ np.concatenate([np.maximum(self._floats, down), np.minimum(self._floats, up)], axis=1).T
+            low = weights[left] @ np.concatenate([np.where(self._floats >= down, self._floats, bottom), np.where(self._floats <= up, self._floats, top)], axis=1).T
+            own = query_ids[left, None] == self.ids
+            high[own] = low[own] = -np.inf
+            bar = np.partition(low, -k, axis=1)[:, -k] if n > k else np.full(len(left), -np.inf)
+            can = (high + slack[left, None] >= bar[:, None]) & ~own
+            ends = (can.sum(axis=1) <= max(4 * k, n // 32)) | (done == n)
+            for at in np.flatnonzero(ends):
+                open_ = np.flatnonzero(can[at])
+                score = self.x[open_] @ queries[left[at]]
+                order = np.lexsort((self.ids[open_], -score))[:k]
+                out[left[at]] = self.ids[open_][order], score[order]
+            left = left[~ends]
+            if not len(left):
                 break
-        score = self.x[open_] @ q
-        order = np.lexsort((self.ids[open_], -score))[:k]
-        return self.ids[open_][order], score[order]
+        return out
 
 
 FOUND = "query_id bigint, vec_id bigint, score bigint"
@@ -95,10 +110,9 @@ def _search(k: int):
         raw = group.column("x").to_pylist()
         out: list[tuple[int, np.ndarray, np.ndarray]] = []
         if 0 in side and 1 in side:
-            own = np.flatnonzero(side == 0)
-            lists = Lists(ids[own], np.frombuffer(b"".join(raw[i] for i in own), np.int64).reshape(len(own), -1))
-            for i in np.flatnonzero(side == 1):
-                out.append((ids[i], *lists.best(ids[i], np.frombuffer(raw[i], np.int64), k)))
+            own, asked = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+            x, q = (np.frombuffer(b"".join(raw[i] for i in at), np.int64).reshape(len(at), -1) for at in (own, asked))
+            out = [(i, *found) for i, found in zip(ids[asked], Lists(ids[own], x).best_of(ids[asked], q, k))]
         return pa.table(
             {
                 "query_id": pa.array([q for q, v, _ in out for _ in v], pa.int64()),

@@ -51,3 +51,22 @@ def test_lists_stop_early_and_are_exact():
         ids, scores = lists.best(5, q, 10)
         want = sorted((-int(x[i] @ q), i) for i in range(3000) if i != 5)[:10]
         assert list(zip((-scores).tolist(), ids.tolist())) == want
+
+
+def test_queries_of_a_block_share_their_bounds():
+    """Many queries at once give what each gives alone, with ties, huge components, few candidates and stops in every round."""
+    r = np.random.default_rng(4)
+    for x in (
+        r.integers(-300, 300, size=(2000, 16)),
+        np.floor(1024 * np.abs(r.gamma(0.2, size=(2000, 8)))).astype(np.int64),
+        r.integers(0, 2, size=(700, 6)),
+        r.integers(-(2**29), 2**29, size=(400, 6)),
+        r.integers(-9, 9, size=(5, 3)),
+    ):
+        ids = r.permutation(len(x)) * 3
+        asked = np.arange(min(T.TOGETHER + 20, len(x)))
+        queries = np.where(r.random((len(asked), 1)) < 0.1, 0, x[asked])
+        for j, (found, scores) in enumerate(T.Lists(ids, x).best_of(ids[asked], queries, 10)):
+            exact = x @ queries[j]
+            order = [i for i in np.lexsort((ids, -exact)) if i != j][:10]
+            assert (found.tolist(), scores.tolist()) == (ids[order].tolist(), exact[order].tolist())
