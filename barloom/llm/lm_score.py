@@ -1,16 +1,22 @@
-"""Interpolated modified Kneser-Ney model of any order: counted in Spark, kept as sorted hash arrays.
-
-Map tasks reduce their texts to distinct n-grams of the highest order with counts, as arrays, not
-rows. They are dealt over a grid, one side by hash of the last word and the other by hash of the
-word before it, so neither a frequent context nor a frequent word lands in one task; the grid grows
-with the text. All n-grams that end in one pair share a cell, so each cell has what the lower orders
-count too: how many words stand before an n-gram, or for one that begins a text how often it does.
-Each cell writes each order's n-grams as one sorted array file, and passes on what it adds to each
-word (raw count, number of contexts it follows) and to each context (the total of its n-grams'
-counts, how many of them have count 1, 2 and more). A second deal by hash sums those and writes the
-word and context files. Files lie in the shared folder, which must be a mounted one; scoring workers
-map them into memory and look hashes up, so memory does not grow with the model. Only sums over all
-cells come to the driver.
+"""Interpolated modified Kneser-Ney model of any order: counted in Spark, kept as sorted packed files.
+
+A first pass counts words and numbers them in order of their hashes; further on an n-gram is a row of
+numbers. Map tasks reduce their texts to distinct n-grams of the highest order with counts, as
+arrays, not rows. They are dealt over a grid, one side by range of the last word and the other by
+that of the word before it, so neither a frequent context nor a frequent word lands in one task; the
+grid grows with the text. All n-grams that end in one pair share a cell, so each cell has what the
+lower orders count too: how many words stand before an n-gram, or for one that begins a text how
+often it does. Each cell writes each order's n-grams as one sorted file, an n-gram by the place of
+its ending in the file of the order below and its first word. It passes on what it adds to each word
+(number of contexts it follows) and to each context (the total of its n-grams' counts, how many of
+them have count 1, 2 and more). A context is an n-gram too; a second deal brings those sums to the
+cell that holds it, and they are kept by its place there. Files lie in the shared folder, which must
+be a mounted one; scoring workers map them into memory and look n-grams up, so memory does not grow
+with the model. Only sums and numbers of words over all cells come to the driver.
+
+Sorted keys are kept as their low bytes, with the high ones once for all keys that share them; rows
+of small numbers as one byte that stands for a frequent row. What moves between tasks is steps
+between sorted numbers, byte by byte, compressed.
 
 Before the first word of a text stands one begin sign; the first words have shorter contexts.
 Probabilities of all known words and one class for unknown ones sum to one for every context.
@@ -18,6 +24,7 @@ Probabilities of all known words and one class for unknown ones sum to one for e
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections import OrderedDict
@@ -34,13 +41,15 @@ from pyspark.sql import functions as F
 from barloom.llm.common import filled, new_path, register, table, text_bytes
 from barloom.llm.textnum import U64, chain, steps, words
 
-BEGIN, END, NONE = U64(0xBE617), U64(0xE2D), U64(0x09E)
+BEGIN, END = U64(0xBE617), U64(0xE2D)
 #: Text per cell of the grid.
 CELL_BYTES = 16_000_000
 FOLDS, HELD_OUT = 7, 2
-#: Array files that a worker keeps mapped.
+#: Files that a worker keeps mapped.
 OPEN_FILES = 512
-_WORD_COLUMNS = 6  # raw count, contexts followed, pairs begun with count 1, 2, 3 or more, total of their counts
+#: In a byte that stands for a row of numbers: a row that is not among the frequent ones.
+RARE = 255
+_WORD_COLUMNS = 5  # contexts followed, pairs begun with count 1, 2, 3 or more, total of their counts
 _CONTEXT_COLUMNS = 4  # of a longer context: n-grams begun with count 1, 2, 3 or more, total of their counts
 
 
@@ -49,23 +58,17 @@ def _deal(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> U64(32)) * U64(n) >> U64(32)).astype(np.int64)
 
 
-def _tokens(texts: pa.Array, order: int = 2) -> tuple[np.ndarray, np.ndarray]:
-    """The last ``order`` words up to each token of all texts (an end after each) as rows, and where each text's begin."""
+def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of all texts, an end after each, and where each text's begin (n + 1)."""
     w, at = words(texts)
-    heads = at + np.arange(len(at))
-    last = [np.insert(w, at[1:], END), np.insert(w, at[:-1], BEGIN)]
-    while len(last) < order:
-        last.append(np.concatenate([last[-1][:1], last[-1][:-1]]))
-        last[-1][heads[:-1]] = NONE
-    return np.stack(last[::-1]), heads
+    return np.insert(w, at[1:], END), at + np.arange(len(at))
 
 
-def _summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and the sums of their rows of values."""
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(values[order], first, axis=0) if len(keys) else values
+def _before(x: np.ndarray, heads: np.ndarray, first) -> np.ndarray:
+    """What stands a token earlier in ``x``; ``first`` where a text begins."""
+    out = np.concatenate([x[:1], x[:-1]])
+    out[heads[:-1]] = first
+    return out
 
 
 def _starts(*columns: np.ndarray) -> np.ndarray:
@@ -77,59 +80,288 @@ def _starts(*columns: np.ndarray) -> np.ndarray:
     return out
 
 
-def _distinct(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct n-grams (columns of ``grams``) with the sums of n."""
-    key = chain(*grams)
-    order = np.argsort(key)
-    first = np.flatnonzero(_starts(key[order]))
-    return grams[:, order[first]], np.add.reduceat(n[order], first) if len(n) else n
+def _order(grams: np.ndarray) -> np.ndarray:
+    """Order of n-grams (columns) by the last word, then the one before it and so on."""
+    if len(grams) > 1 and grams.dtype == np.uint32:
+        return np.lexsort((*grams[:-2], (grams[-1].astype(U64) << U64(32)) | grams[-2]))
+    return np.lexsort(grams)
+
 
+def _distinct(grams: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams (columns of ``grams``) in order, and the sums of their values."""
+    if not grams.shape[1]:
+        return grams, values
+    order = _order(grams)
+    grams = grams[:, order]
+    first = np.flatnonzero(_starts(*grams))
+    return grams[:, first], np.add.reduceat(values[order], first, axis=0)
 
-#: cell, and for n-grams (kind 0) words by place, how many of them, their codes, counts; for sums (kind 2) one array;
-#: for words (kind 1) and contexts of k - 1 words (kind k, from 3) keys, rows of columns, bytes of a number.
-PARTS = "cell bigint, kind int, a binary, b binary, c binary, d binary"
-_NAMES = ["cell", "kind", "a", "b", "c", "d"]
 
+def _smallest(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.min_scalar_type(int(x.max()) if x.size else 0))
 
-def _part(cell: int, kind: int, *arrays: np.ndarray) -> tuple:
-    return (cell, kind, *(x.tobytes() for x in arrays), *[b""] * (4 - len(arrays)))
+
+# -- what moves between tasks
+
+#: A cell; n-grams with counts (kind 0), sums of words (1) or of contexts of k - 1 words (k, from 3), sums over a cell (2).
+PARTS = "cell bigint, kind int, data binary"
 
 
 def _rows(parts: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
-    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in parts], t) for k, t in enumerate(types)], _NAMES)
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in parts], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], ["cell", "kind", "data"])
 
 
-def _smallest(x: np.ndarray) -> np.ndarray:
-    return x.astype(np.min_scalar_type(int(x.max()) if x.size else 0))
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of numbers from 0, byte by byte of their numbers, compressed."""
+    small = [np.ascontiguousarray(_smallest(x)) for x in arrays]
+    sizes = np.array([len(small), *(k for x in small for k in (x.itemsize, len(x)))], np.int64)
+    data = b"".join([sizes.tobytes(), *(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes() for x in small)])
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    data = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+    count = int(np.frombuffer(data, np.int64, 1)[0])
+    at, out = 8 * (1 + 2 * count), []
+    for size, n in np.frombuffer(data, np.int64, 2 * count, 8).reshape(-1, 2).tolist():
+        planes = np.frombuffer(data, np.uint8, size * n, at).reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).view(f"<u{size}").reshape(-1))
+        at += size * n
+    return out
+
+
+def _folded(grams: np.ndarray) -> list[np.ndarray]:
+    """Distinct n-grams in order as a tree from the last word: at each depth steps between words, and how many each node above has."""
+    out = []
+    above = np.zeros(grams.shape[1], bool)
+    above[:1] = True
+    for x in grams[::-1].astype(np.int64):
+        here = above.copy()
+        here[1:] |= x[1:] != x[:-1]
+        at = np.flatnonzero(here)
+        first = above[at]
+        out += [np.where(first, x[at], np.diff(x[at], prepend=0)), np.diff(np.append(np.flatnonzero(first), len(at)))]
+        above = here
+    return out
+
+
+def _unfolded(arrays: list[np.ndarray]) -> np.ndarray:
+    columns: list[np.ndarray] = []
+    for step, count in zip(arrays[::2], arrays[1::2]):
+        step, count = step.astype(np.int64), count.astype(np.int64)
+        total = np.cumsum(step)
+        first = np.cumsum(count) - count
+        columns = [np.repeat(x, count) for x in columns]
+        columns.append(total - np.repeat(total[first] - step[first], count))
+    return np.stack(columns[::-1])
+
+
+# -- files
+
+
+def _save(folder: str, name: str, **arrays: np.ndarray) -> None:
+    """Write arrays as one file; a repeated task puts the same bytes in place."""
+    os.makedirs(folder, exist_ok=True)
+    listed, at = {}, 0
+    for key, x in arrays.items():
+        listed[key] = (x.dtype.str, x.shape, at)
+        at += -(-x.nbytes // 16) * 16
+    head = json.dumps(listed).encode()
+    head += b" " * (-(len(head) + 8) % 16)
+    draft = os.path.join(folder, f".{name}-{uuid.uuid4().hex}")
+    with open(draft, "wb") as f:
+        f.write(len(head).to_bytes(8, "little") + head)
+        for x in arrays.values():
+            f.write(x.tobytes() + bytes(-x.nbytes % 16))
+    os.replace(draft, os.path.join(folder, name))
+
+
+_MAPPED: OrderedDict[str, dict[str, np.ndarray]] = OrderedDict()
+
+
+def _mapped(folder: str, name: str) -> dict[str, np.ndarray] | None:
+    """The arrays in a file, mapped into memory; None if there is none."""
+    path = f"{folder}/{name}"
+    if path in _MAPPED:
+        _MAPPED.move_to_end(path)
+        return _MAPPED[path]
+    if not os.path.exists(path):
+        return None
+    raw = np.asarray(np.memmap(path, np.uint8, "r"))
+    begin = 8 + int.from_bytes(raw[:8].tobytes(), "little")
+    out = {}
+    for key, (kind, shape, at) in json.loads(raw[8:begin].tobytes()).items():
+        size = int(np.prod(shape)) * np.dtype(kind).itemsize
+        out[key] = raw[begin + at : begin + at + size].view(kind).reshape(shape)
+    _MAPPED[path] = out
+    if len(_MAPPED) > OPEN_FILES:
+        _MAPPED.popitem(last=False)
+    return out
+
+
+_PLANES = (4, 2, 1)
+
+
+def _key_arrays(keys: np.ndarray) -> dict[str, np.ndarray]:
+    """Sorted distinct keys: low bytes in planes of 4, 2 and 1 bytes, and the distinct high parts with their first places."""
+    cost = [size * len(keys) + 12 * int(_starts(keys >> U64(8 * size)).sum()) for size in range(1, 8)]
+    size = 1 + int(np.argmin(cost))
+    high, first = np.unique(keys >> U64(8 * size), return_index=True)
+    out, shift = {"high": high, "first": _smallest(np.append(first, len(keys)))}, 0
+    for width in _PLANES:
+        if size & width:
+            out[f"low{width}"] = ((keys >> U64(shift)) & U64((1 << 8 * width) - 1)).astype(f"<u{width}")
+            shift += 8 * width
+    return out
+
+
+def _places(stored: dict[str, np.ndarray], keys: np.ndarray) -> np.ndarray:
+    """Places of keys in a file, -1 where one is not there."""
+    planes, shift = [], 0
+    for width in _PLANES:
+        if f"low{width}" in stored:
+            planes.append((stored[f"low{width}"], shift))
+            shift += 8 * width
+
+    def low(at: np.ndarray) -> np.ndarray:
+        out = planes[0][0][at].astype(U64)
+        for x, by in planes[1:]:
+            out |= x[at].astype(U64) << U64(by)
+        return out
+
+    high = keys >> U64(shift)
+    group = np.minimum(np.searchsorted(stored["high"], high), len(stored["high"]) - 1)
+    there = np.flatnonzero(stored["high"][group] == high)
+    out = np.full(len(keys), -1)
+    if not len(there):
+        return out
+    wanted = keys[there] & U64((1 << shift) - 1)
+    begin, end = (stored["first"][group[there] + k].astype(np.int64) for k in (0, 1))
+    last = end - 1  # of each group, its keys being some
+    for _ in range(int((end - begin).max()).bit_length()):
+        middle = np.minimum((begin + end) >> 1, last)
+        less = (begin < end) & (low(middle) < wanted)
+        end = np.where(less, end, np.minimum(middle, end))
+        begin = np.where(less, middle + 1, begin)
+    begin = np.minimum(begin, last)
+    hit = low(begin) == wanted
+    out[there[hit]] = begin[hit]
+    return out
+
+
+def _row_arrays(rows: np.ndarray) -> dict[str, np.ndarray]:
+    """Rows of numbers as distinct rows, frequent ones first, and a byte for each; rare ones aside."""
+    key = rows[:, 0] if rows.shape[1] == 1 else chain(*rows.T.astype(U64))
+    _, first, code, times = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    order = np.argsort(-times, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    code = place[code]
+    rare = np.flatnonzero(code >= RARE)
+    return {"row": _smallest(rows[first[order]]), "code": np.minimum(code, RARE).astype(np.uint8), "rare": _smallest(rare), "rest": _smallest(code[rare])}
+
+
+def _row(stored: dict[str, np.ndarray], at: np.ndarray) -> np.ndarray:
+    """The rows of numbers at some places of a file."""
+    code = stored["code"][at].astype(np.int64)
+    rare = np.flatnonzero(code == RARE)
+    code[rare] = stored["rest"][np.searchsorted(stored["rare"], at[rare].astype(stored["rare"].dtype))]
+    return stored["row"][code].astype(np.int64)
+
+
+# -- words
+
+
+@dataclass(frozen=True)
+class Numbers:
+    """Numbers of words: in which folder their hashes lie, and the first number of each range of hashes.
 
+    ``size`` is the number of words; it stands for no word (before a text's begin), size + 1 for an unknown one.
+    """
+
+    folder: str
+    base: tuple[int, ...]
+
+    @property
+    def size(self) -> int:
+        return self.base[-1]
+
+    @property
+    def kind(self) -> type:
+        return np.uint32 if self.size + 2 < 2**32 else U64
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """The numbers of hashes in ascending order."""
+        out = np.full(len(hashes), self.size + 1, U64)
+        ends = np.searchsorted(_deal(hashes, len(self.base) - 1), np.arange(len(self.base)))
+        for k in np.flatnonzero(np.diff(ends)).tolist():
+            if (stored := _mapped(self.folder, f"words-{k}")) is not None:
+                own = hashes[ends[k] : ends[k + 1]]
+                at = np.minimum(np.searchsorted(stored["key"], own), len(stored["key"]) - 1)
+                out[ends[k] : ends[k + 1]] = np.where(stored["key"][at] == own, U64(self.base[k]) + at.astype(U64), U64(self.size + 1))
+        return out
+
+    def ranges(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For words in ascending order: the ranges they lie in, and for each the first of its words (n + 1)."""
+        at = np.searchsorted(x, np.array(self.base, U64).astype(x.dtype))
+        own = np.flatnonzero(np.diff(at))
+        return own, np.append(at[own], at[-1] if len(own) else 0)
+
+    def side(self, x: np.ndarray, n: int) -> np.ndarray:
+        """Which of n equal ranges of numbers each lies in."""
+        return (x.astype(U64) * U64(n) // U64(self.size + 2)).astype(np.int64)
+
+
+def _count_words(ranges: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A task's texts to words with counts, by range of hashes."""
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        fresh = 0
+
+        def settle() -> None:
+            nonlocal fresh
+            key, n = _distinct(np.concatenate([x for x, _ in held])[None], np.concatenate([x for _, x in held]))
+            held[:] = [(key[0], n)]
+            fresh = 0
+
+        for batch in batches:
+            for first, count in steps(batch.column(0)):
+                held.append(np.unique(_tokens(batch.column(0).slice(first, count))[0], return_counts=True))
+                fresh += len(held[-1][0])
+                if fresh > max(2_000_000, len(held[0][0])):
+                    settle()
+        if not held:
+            return
+        held.append((np.array([BEGIN]), np.zeros(1, np.int64)))
+        settle()
+        key, n = held.pop()
+        ends = np.searchsorted(_deal(key, ranges), np.arange(ranges + 1))
+        for k, (a, b) in enumerate(zip(ends, ends[1:])):
+            if b > a:
+                yield _rows([(k, 1, _packed(np.diff(key[a:b], prepend=U64(0)), n[a:b]))])
 
-def _packed(cell: int, grams: np.ndarray, n: np.ndarray) -> tuple:
-    """A part of n-grams: at each place the distinct words and short codes."""
-    books, codes = zip(*(np.unique(g, return_inverse=True) for g in grams))
-    return (cell, 0, b"".join(x.tobytes() for x in books), np.array([len(x) for x in books]).tobytes(), b"".join(_smallest(x).tobytes() for x in codes), _smallest(n).tobytes())
+    return run
 
 
-def _unpacked(r: dict) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.frombuffer(r["b"], np.int64)
-    books = np.split(np.frombuffer(r["a"], U64), np.cumsum(sizes)[:-1])
-    kinds = [np.min_scalar_type(int(k) - 1) for k in sizes]
-    m = len(r["c"]) // sum(k.itemsize for k in kinds)
-    grams, at = [], 0
-    for book, kind in zip(books, kinds):
-        grams.append(book[np.frombuffer(r["c"], kind, m, at)])
-        at += m * kind.itemsize
-    return np.stack(grams), np.frombuffer(r["d"], f"u{len(r['d']) // m}").astype(np.int64)
+def _merge_words(folder: str):
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        """One range of hashes: its words sorted and written with their counts."""
+        cell = key[0].as_py()
+        parts = [_unpacked(x) for x in group.column("data").to_pylist()]
+        keys = np.concatenate([np.cumsum(step.astype(U64), dtype=U64) for step, _ in parts])
+        keys, n = _distinct(keys[None], np.concatenate([x.astype(np.int64) for _, x in parts]))
+        _save(folder, f"words-{cell}", key=keys[0], **_row_arrays(n[:, None]))
+        return pa.table({"cell": [cell], "size": [len(n)], "tokens": [int(n.sum())], "words": [int((n > 0).sum())]})
+
+    return run
 
 
-def _sum_part(cell: int, kind: int, keys: np.ndarray, values: np.ndarray) -> tuple:
-    values = _smallest(values)
-    return (cell, kind, keys.tobytes(), values.tobytes(), str(values.itemsize).encode(), b"")
+# -- n-grams
 
 
-def _count(side: int, order: int):
+def _count(side: int, order: int, numbers: Numbers):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A task's texts to n-grams per cell and words per range."""
+        """A task's texts to n-grams per cell."""
         held: list[tuple[np.ndarray, np.ndarray]] = []
         fresh = 0
 
@@ -140,8 +372,13 @@ def _count(side: int, order: int):
 
         for batch in batches:
             for first, count in steps(batch.column(0)):
-                grams, _ = _tokens(batch.column(0).slice(first, count), order)
-                held.append(_distinct(grams, np.ones(grams.shape[1], np.int64)))
+                now, heads = _tokens(batch.column(0).slice(first, count))
+                distinct, place = np.unique(np.append(now, BEGIN), return_inverse=True)
+                number = numbers.of(distinct).astype(numbers.kind)[place]
+                last = [number[:-1]]
+                while len(last) < order:
+                    last.append(_before(last[-1], heads, number[-1] if len(last) == 1 else numbers.size))
+                held.append(_distinct(np.stack(last[::-1]), np.ones(len(now), np.int64)))
                 fresh += len(held[-1][1])
                 if fresh > max(2_000_000, len(held[0][1])):
                     settle()
@@ -149,122 +386,110 @@ def _count(side: int, order: int):
             return
         settle()
         grams, n = held.pop()
-        cell = _deal(grams[-2], side) * side + _deal(grams[-1], side)
-        by = np.argsort(cell.astype(np.min_scalar_type(side * side)), kind="stable")
-        grams, n, cell = grams[:, by], n[by], cell[by]
-        key, raw = _summed(grams[-1], n)
-        rows = np.zeros((len(key), _WORD_COLUMNS), np.int64)
-        rows[:, 0] = raw
-        word_cell = _deal(key, side * side)
-        for c in range(side * side):
-            a, b = np.searchsorted(cell, [c, c + 1])
-            if b > a:
-                yield _rows([_packed(c, grams[:, a:b], n[a:b])])
-            a, b = np.searchsorted(word_cell, [c, c + 1])
-            if b > a:
-                yield _rows([_sum_part(c, 1, key[a:b], rows[a:b])])
+        cell = numbers.side(grams[-2], side) * side + numbers.side(grams[-1], side)
+        for c, own in _by(cell):
+            yield _rows([(c, 0, _packed(*_folded(grams[:, own]), n[own]))])
 
     return run
 
 
-def _sums_of(rows: list[dict], kind: int, columns: int) -> tuple[np.ndarray, np.ndarray]:
-    """The parts of words (kind 1) or contexts in a group, summed."""
-    own = [r for r in rows if r["kind"] == kind]
-    if not own:
-        return np.zeros(0, U64), np.zeros((0, columns), np.int64)
-    values = [np.frombuffer(r["b"], f"u{int(r['c'])}").reshape(-1, columns).astype(np.int64) for r in own]
-    return _summed(np.concatenate([np.frombuffer(r["a"], U64) for r in own]), np.concatenate(values))
-
-
-def _save(folder: str, name: str, **arrays: np.ndarray) -> None:
-    """Write arrays as name-key.npy; a repeated task puts the same bytes in place."""
-    os.makedirs(folder, exist_ok=True)
-    for key, x in arrays.items():
-        draft = os.path.join(folder, f".{name}-{key}-{uuid.uuid4().hex}")
-        with open(draft, "wb") as f:
-            np.save(f, x)
-        os.replace(draft, os.path.join(folder, f"{name}-{key}.npy"))
+def _by(cell: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each cell with the places that belong to it, in order."""
+    order = np.argsort(_smallest(cell), kind="stable")
+    ends = np.cumsum(np.bincount(cell)) if len(cell) else np.zeros(0, np.int64)
+    for c in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
+        yield c, order[ends[c - 1] if c else 0 : ends[c]]
 
 
 def _names_of_sums(order: int) -> list[str]:
-    """Sums over all cells: words' first, then the counts 1 to 4 of each order's n-grams."""
-    return ["tokens", "words", "pairs", *(f"{level}_{k}" for level in range(1, order + 1) for k in range(1, 5))]
+    """Sums over all cells: pairs first, then the counts 1 to 4 of each order's n-grams."""
+    return ["pairs", *(f"{level}_{k}" for level in range(1, order + 1) for k in range(1, 5))]
 
 
-def _merge_grams(folder: str, side: int, order: int):
+def _merge_grams(side: int, order: int, numbers: Numbers):
     def run(key: tuple, group: pa.Table) -> pa.Table:
         """One cell: the n-grams of each order sorted and written, and what they add to each word and context."""
         cell = key[0].as_py()
-        rows = group.to_pylist()
-        of_words = [_sums_of(rows, 1, _WORD_COLUMNS)]
-        of_contexts = {}
+        (begin,) = numbers.of(np.array([BEGIN]))
+        none, wide = U64(numbers.size), U64(numbers.size + 1)
+        parts = [_unpacked(x) for x in group.column("data").to_pylist()]
+        grams = np.concatenate([_unfolded(x[:-1]).astype(numbers.kind) for x in parts], axis=1)
+        grams, n = _distinct(grams, np.concatenate([x[-1].astype(np.int64) for x in parts]))
+        del parts
+        # where a new n-gram of each order starts: those with equal last words lie together
+        starts = {2: _starts(grams[-2], grams[-1])}
+        for k in range(3, order + 1):
+            starts[k] = starts[k - 1] | _starts(grams[-k])
         sums = np.zeros(len(_names_of_sums(order)), np.int64)
-        grams = [_unpacked(r) for r in rows if r["kind"] == 0]
-        del rows
-        if grams:
-            grams, n = np.concatenate([x for x, _ in grams], axis=1), np.concatenate([x for _, x in grams])
-            pair = chain(grams[-2], grams[-1])
-            by = np.lexsort((*grams[:-2], pair))
-            grams, n = grams[:, by], n[by]
-            # where a new n-gram of each order starts: those with equal last words lie together
-            starts = {2: _starts(grams[-2], grams[-1])}
-            for k in range(3, order + 1):
-                starts[k] = starts[k - 1] | _starts(grams[-k])
-            first = np.flatnonzero(starts[order])
-            grams, n, starts = grams[:, first], np.add.reduceat(n, first), {k: x[first] for k, x in starts.items()}
-            for k in range(2, order + 1):
-                at = np.flatnonzero(starts[k])
-                head = grams[-k][at]
-                value = n
-                if k < order:
-                    value = np.where(head == BEGIN, np.add.reduceat(n, at), np.add.reduceat(starts[k + 1].astype(np.int64), at))
-                at, value = at[head != NONE], value[head != NONE]
-                own = grams[-k:, at]
-                gram = chain(*own)
-                up = np.argsort(gram)
-                _save(folder, f"grams{k}-{cell}", key=gram[up], n=_smallest(value[up]))
-                sums[3 + 4 * (k - 1) : 3 + 4 * k] = [(value == j).sum() for j in range(1, 5)]
-                begun = np.zeros((len(value), _CONTEXT_COLUMNS), np.int64)
-                begun[np.arange(len(value)), np.minimum(value, 3) - 1] = 1
-                begun[:, 3] = value
-                if k > 2:
-                    of_contexts[k] = _summed(chain(*own[:-1]), begun)
-                    continue
-                word, times = np.unique(own[-1], return_counts=True)
-                follows = np.zeros((len(word), _WORD_COLUMNS), np.int64)
-                follows[:, 1] = times
-                context, begun = _summed(own[0], begun)
-                of_words += [(word, follows), (context, np.pad(begun, ((0, 0), (2, 0))))]
-        parts = [_part(-1, 2, sums)]
-        of_contexts[1] = _summed(np.concatenate([x for x, _ in of_words]), np.concatenate([x for _, x in of_words]))
-        for kind, (keys, values) in of_contexts.items():
-            to = _deal(keys, side * side)
-            for c in np.unique(to).tolist():
-                a, b = np.searchsorted(to, [c, c + 1])
-                parts.append(_sum_part(c, kind, keys[a:b], values[a:b]))
-        return pa.Table.from_batches([_rows(parts)])
+        out: list[tuple] = []
+        place = grams[-1].astype(U64)  # of the ending in the file of the order below; for pairs the last word
+        for k in range(2, order + 1):
+            at = np.flatnonzero(starts[k])
+            first = grams[-k][at]
+            value = n
+            if k < order:
+                value = np.where(first == begin, np.add.reduceat(n, at), np.add.reduceat(starts[k + 1].astype(np.int64), at))
+            kept = first != none
+            number = np.cumsum(kept) - 1
+            if kept.any():
+                keys = place[at[kept]] * wide + first[kept].astype(U64)
+                _save(numbers.folder, f"grams{k}-{cell}", **_key_arrays(keys), **_row_arrays(value[kept, None]))
+            place = number[np.cumsum(starts[k]) - 1].astype(U64)
+            at, value = at[kept], value[kept]
+            sums[1 + 4 * (k - 1) : 1 + 4 * k] = [(value == j).sum() for j in range(1, 5)]
+            begun = np.zeros((len(value), _CONTEXT_COLUMNS), np.int64)
+            begun[np.arange(len(value)), np.minimum(value, 3) - 1] = 1
+            begun[:, 3] = value
+            context, begun = _distinct(grams[-k:-1, at], begun)
+            if k > 2:
+                to = numbers.side(context[-2], side) * side + numbers.side(context[-1], side)
+                out += [(c, k, _packed(*_folded(context[:, own]), *begun[own].T)) for c, own in _by(to)]
+                continue
+            word, times = np.unique(grams[-1, at], return_counts=True)
+            follows = np.zeros((len(word), _WORD_COLUMNS), np.int64)
+            follows[:, 0] = times
+            word, follows = _distinct(np.concatenate([word[None], context], axis=1), np.concatenate([follows, np.pad(begun, ((0, 0), (1, 0)))]))
+            ranges, ends = numbers.ranges(word[0])
+            for c, a, b in zip(ranges.tolist(), ends, ends[1:]):
+                out.append((c, 1, _packed(*_folded(word[:, a:b]), *follows[a:b].T)))
+        return pa.Table.from_batches([_rows([(-1, 2, _packed(sums)), *out])])
 
     return run
 
 
-def _merge_sums(folder: str, order: int):
+def _nodes(folder: str, cell: int, grams: np.ndarray, wide: U64) -> np.ndarray:
+    """Places of n-grams of a cell in the file of their order."""
+    place = grams[-1].astype(U64)
+    for k in range(2, len(grams) + 1):
+        place = _places(_mapped(folder, f"grams{k}-{cell}"), place * wide + grams[-k].astype(U64)).astype(U64)
+    return place.astype(np.int64)
+
+
+def _merge_sums(order: int, numbers: Numbers):
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        """One range of words and contexts: their rows summed and written; the sums of a cell pass through."""
-        cell, rows = key[0].as_py(), group.to_pylist()
+        """One range of words and one cell's contexts: their rows summed and written; the sums of a cell pass through."""
+        cell = key[0].as_py()
+        parts: dict[int, list[list[np.ndarray]]] = {}
+        for kind, data in zip(group.column("kind").to_pylist(), group.column("data").to_pylist()):
+            parts.setdefault(kind, []).append(_unpacked(data))
         sums = np.zeros(len(_names_of_sums(order)), np.int64)
-        for r in rows:
-            if r["kind"] == 2:
-                sums += np.frombuffer(r["a"], np.int64)
-        keys, values = _sums_of(rows, 1, _WORD_COLUMNS)
-        if len(keys):
-            _save(folder, f"words-{cell}", key=keys, **{f"v{k}": _smallest(values[:, k]) for k in range(_WORD_COLUMNS)})
-            seen = values[:, 0] > 0
-            sums[:3] += [values[:, 0].sum(), seen.sum(), values[:, 1].sum()]
-            sums[3:7] += [(values[:, 1] == k).sum() for k in range(1, 5)]
-        for k in range(3, order + 1):
-            keys, values = _sums_of(rows, k, _CONTEXT_COLUMNS)
-            if len(keys):
-                _save(folder, f"contexts{k}-{cell}", key=keys, **{f"v{j}": _smallest(values[:, j]) for j in range(_CONTEXT_COLUMNS)})
+        for (x,) in parts.pop(2, []):
+            sums += x.astype(np.int64)
+        for kind, own in parts.items():
+            columns = _WORD_COLUMNS if kind == 1 else _CONTEXT_COLUMNS
+            if kind == 1:
+                name, size = f"stats-{cell}", numbers.base[cell + 1] - numbers.base[cell]
+            else:
+                name, size = f"begun{kind - 1}-{cell}", len(_mapped(numbers.folder, f"grams{kind - 1}-{cell}")["code"])
+            rows = np.zeros((size, columns), np.int64)
+            for x in own:
+                grams = _unfolded(x[:-columns])
+                at = grams[0] - numbers.base[cell] if kind == 1 else _nodes(numbers.folder, cell, grams, U64(numbers.size + 1))
+                rows[at] += np.stack(x[-columns:], axis=1).astype(np.int64)
+            _save(numbers.folder, name, **_row_arrays(rows))
+            if kind == 1:
+                sums[0] += rows[:, 0].sum()
+                sums[1:5] += [(rows[:, 0] == k).sum() for k in range(1, 5)]
         return pa.table({x: [int(v)] for x, v in zip(_names_of_sums(order), sums)})
 
     return run
@@ -272,9 +497,9 @@ def _merge_sums(folder: str, order: int):
 
 @dataclass(frozen=True)
 class Model:
-    """Where the arrays lie, the grid's side, and sums over all training tokens."""
+    """The words' numbers, the grid's side, and sums over all training tokens."""
 
-    folder: str
+    numbers: Numbers
     side: int
     tokens: int
     words: int
@@ -304,52 +529,27 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     folder = _mounted(docs.sparkSession)
     texts = docs.select(filled(text_col).alias("text"))
     side = max(2, int(np.ceil(np.sqrt(text_bytes(texts, "text") / CELL_BYTES))))
-    cells, names = side * side, _names_of_sums(order)
+    cells, ranges, names = side * side, 4 * side, _names_of_sums(order)
+    found = (
+        texts.mapInArrow(_count_words(ranges), PARTS)
+        .repartition(ranges, "cell").groupBy("cell").applyInArrow(_merge_words(folder), "cell bigint, size bigint, tokens bigint, words bigint")
+        .collect()
+    )
+    sizes = np.zeros(ranges, np.int64)
+    sizes[[r["cell"] for r in found]] = [r["size"] for r in found]
+    tokens, known = (sum(r[name] for r in found) for name in ("tokens", "words"))
+    numbers = Numbers(folder, (0, *np.cumsum(sizes).tolist()))
     sums = (
-        texts.mapInArrow(_count(side, order), PARTS)
-        .repartition(cells, "cell").groupBy("cell").applyInArrow(_merge_grams(folder, side, order), PARTS)
-        .repartition(cells, "cell").groupBy("cell").applyInArrow(_merge_sums(folder, order), ", ".join(f"{n} bigint" for n in names))
+        texts.mapInArrow(_count(side, order, numbers), PARTS)
+        .repartition(cells, "cell").groupBy("cell").applyInArrow(_merge_grams(side, order, numbers), PARTS)
+        .repartition(cells, "cell").groupBy("cell").applyInArrow(_merge_sums(order, numbers), ", ".join(f"{n} bigint" for n in names))
         .agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
         .first()
     )
     of = tuple(discounts(*(sums[f"{level}_{k}"] for k in range(1, 5))) for level in range(1, order + 1))
-    more = sums["words"] - sums["1_1"] - sums["1_2"]
+    more = known - sums["1_1"] - sums["1_2"]
     left = of[0][0] * sums["1_1"] + of[0][1] * sums["1_2"] + of[0][2] * more
-    return Model(folder, side, sums["tokens"], sums["words"], sums["pairs"], of, left / sums["pairs"] if sums["pairs"] else 1.0)
-
-
-_MAPPED: OrderedDict[str, np.ndarray] = OrderedDict()
-
-
-def _mapped(path: str) -> np.ndarray | None:
-    """The array in a file, mapped into memory; None if there is none."""
-    if path in _MAPPED:
-        _MAPPED.move_to_end(path)
-        return _MAPPED[path]
-    if not os.path.exists(path):
-        return None
-    _MAPPED[path] = np.load(path, mmap_mode="r")
-    if len(_MAPPED) > OPEN_FILES:
-        _MAPPED.popitem(last=False)
-    return _MAPPED[path]
-
-
-def _find(folder: str, kind: str, cell: np.ndarray, keys: np.ndarray, columns: list[str]) -> np.ndarray:
-    """Values of keys (ordered within each cell), 0 where a key is not there."""
-    out = np.zeros((len(columns), len(keys)), np.int64)
-    order = np.argsort(cell.astype(np.min_scalar_type(int(cell.max()) if len(cell) else 0)), kind="stable")
-    ends = np.cumsum(np.bincount(cell)) if len(cell) else []
-    begin = 0
-    for c, end in enumerate(ends):
-        if end > begin and (stored := _mapped(f"{folder}/{kind}-{c}-key.npy")) is not None:
-            own = order[begin:end]
-            at = np.searchsorted(stored, keys[own])
-            at[at == len(stored)] = 0
-            hit = stored[at] == keys[own]
-            for k, name in enumerate(columns):
-                out[k, own[hit]] = _mapped(f"{folder}/{kind}-{c}-{name}.npy")[at[hit]]
-        begin = end
-    return out
+    return Model(numbers, side, tokens, known, sums["pairs"], of, left / sums["pairs"] if sums["pairs"] else 1.0)
 
 
 def _discount(n: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
@@ -364,25 +564,63 @@ def _level(word: np.ndarray, n: np.ndarray, begun: np.ndarray, total: np.ndarray
     return np.where(seen, (n - _discount(n, d)) / total + rest / total * word, word)
 
 
+def _look_up(folder: str, k: int, cell: np.ndarray, keys: np.ndarray, begun: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of n-grams of order k: places in their cells' files (-1: not there), counts, and what they begin (rows) if asked."""
+    place, n = np.full(len(keys), -1), np.zeros(len(keys), np.int64)
+    rows = np.zeros((_CONTEXT_COLUMNS, len(keys) if begun else 0), np.int64)
+    for c, own in _by(cell):
+        if (stored := _mapped(folder, f"grams{k}-{c}")) is None:
+            continue
+        at = _places(stored, keys[own])
+        own, at = own[at >= 0], at[at >= 0]
+        place[own] = at
+        n[own] = _row(stored, at)[:, 0]
+        if begun and (stored := _mapped(folder, f"begun{k}-{c}")) is not None:
+            rows[:, own] = _row(stored, at).T
+    return place, n, rows
+
+
 def score_texts(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each text: tokens, known tokens, base score, model's log10 probability."""
-    order, cells = len(model.discounts), model.side**2
-    grams, at = _tokens(texts, order)
-    before, now = grams[-2:]
-    distinct, place = np.unique(np.concatenate([now, before]), return_inverse=True)
-    stats = _find(model.folder, "words", _deal(distinct, cells), distinct, [f"v{k}" for k in range(_WORD_COLUMNS)])
-    own, context = place[: len(now)], place[len(now) :]
-    raw, follows = stats[0][own], stats[1][own]
+    order, side, numbers = len(model.discounts), model.side, model.numbers
+    now, at = _tokens(texts)
+    distinct, place = np.unique(np.append(now, BEGIN), return_inverse=True)
+    number = numbers.of(distinct)
+    stats = np.zeros((1 + _WORD_COLUMNS, len(distinct)), np.int64)  # raw count, then sums
+    known = np.flatnonzero(number < numbers.size)
+    ranges, ends = numbers.ranges(number[known])
+    for c, a, b in zip(ranges.tolist(), ends, ends[1:]):
+        own = known[a:b]
+        local = (number[own] - U64(numbers.base[c])).astype(np.int64)
+        stats[0, own] = _row(_mapped(numbers.folder, f"words-{c}"), local)[:, 0]
+        stats[1:, own] = _row(_mapped(numbers.folder, f"stats-{c}"), local).T
+    raw, follows = stats[0][place[:-1]], stats[1][place[:-1]]
     p = (follows - _discount(follows, model.discounts[0])) / max(model.pairs, 1) + model.word_rest / (model.words + 1)
+
+    word = number[place]
+    word, first = word[:-1], word[-1]
+    begun = stats[2:, _before(place[:-1], at, place[-1])]  # of each token's context
+    wide, most = U64(numbers.size + 1), U64(numbers.size + 2)
+    which, node, cell = word, None, None
     for k in range(2, order + 1):
-        keys, one, which = np.unique(chain(*grams[-k:]), return_index=True, return_inverse=True)
-        n = _find(model.folder, f"grams{k}", _deal(before[one], model.side) * model.side + _deal(now[one], model.side), keys, ["n"])[0][which]
-        if k > 2:
-            keys, context = np.unique(chain(*grams[-k:-1]), return_inverse=True)
-            begun = _find(model.folder, f"contexts{k}", _deal(keys, cells), keys, [f"v{j}" for j in range(_CONTEXT_COLUMNS)])
+        head = _before(word if k == 2 else head, at, first if k == 2 else numbers.size)
+        _, one, now_which = np.unique(which * most + head, return_index=True, return_inverse=True)
+        if k == 2:
+            cell = numbers.side(np.minimum(head[one], wide), side) * side + numbers.side(word[one], side)
+            above, there = word[one], word[one] < wide
         else:
-            begun = stats[2:]
-        p = _level(p, n, begun[:3, context], begun[3][context], model.discounts[k - 1])
+            cell, above = cell[which[one]], node[which[one]]
+            there = above >= 0
+        there &= head[one] < numbers.size
+        asked = np.flatnonzero(there)
+        node, n, rows = np.full(len(one), -1), np.zeros(len(one), np.int64), np.zeros((_CONTEXT_COLUMNS, len(one)), np.int64)
+        node[asked], n[asked], found = _look_up(numbers.folder, k, cell[asked], above[asked].astype(U64) * wide + head[one][asked], k < order)
+        if k < order:
+            rows[:, asked] = found
+        which = now_which.astype(U64)
+        p = _level(p, n[now_which], begun[:3], begun[3], model.discounts[k - 1])
+        if k < order:  # the context of the next order is the n-gram of this one that ends a token earlier
+            begun = np.stack([_before(x, at, 0) for x in rows[:, now_which]])
     base = np.log10((raw + 1) / (model.tokens + model.words + 1))
     first = at[:-1]
     return np.diff(at), np.add.reduceat((raw > 0).astype(np.int64), first), np.add.reduceat(base, first), np.add.reduceat(np.log10(p), first)

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from barloom.llm import lm_score as L
@@ -174,3 +175,23 @@ def test_registered_query_is_a_trigram_model(spark):
     plain = PlainOfOrder([t for i, t in rows if not held_out(i)], 3)
     got = {r.doc_id: r.score for r in QUERIES["op10_lm_scoring"](spark, folder).collect()}
     assert [got[i] for i, _ in rows] == pytest.approx([plain.score(t) for _, t in rows], rel=1e-9)
+
+
+def test_files_and_parts_hold_all_in_few_bytes():
+    r = np.random.default_rng(6)
+    grams = np.unique(r.zipf(1.3, size=(3, 50_000)) % 70_000, axis=1).astype(np.uint32)
+    grams, n = L._distinct(grams, r.integers(1, 400, size=grams.shape[1]))
+    assert sorted(map(tuple, grams.T[:, ::-1].tolist())) == list(map(tuple, grams.T[:, ::-1].tolist()))
+    part = L._packed(*L._folded(grams), n)
+    *arrays, got = L._unpacked(part)
+    assert (L._unfolded(arrays) == grams).all() and (got == n).all()
+    assert len(part) < 9 * len(n)  # three hashes and a count: 25
+    for keys in (np.unique(r.integers(0, 2**40, size=100_000)), np.array([0]), np.arange(300), np.array([3, 2**62, 2**63 - 1])):
+        stored = L._key_arrays(keys.astype(np.uint64))
+        asked = np.unique(np.concatenate([keys, keys[keys > 0] - 1, keys[:-1] + 1])).astype(np.uint64)
+        want = {int(k): i for i, k in enumerate(keys)}
+        assert L._places(stored, asked).tolist() == [want.get(int(k), -1) for k in asked]
+        assert sum(x.nbytes for x in stored.values()) < 5 * len(keys) + 64
+    rows = np.stack([r.zipf(1.5, 5000) % 1000, r.zipf(1.5, 5000) % 1000], axis=1)
+    at = r.integers(0, 5000, size=3000)
+    assert (L._row(L._row_arrays(rows), at) == rows[at]).all()
