@@ -1,5 +1,7 @@
 """Packing against the tokenizers library, and the curve against its definition."""
 
+import random
+import sys
 import zlib
 from collections import defaultdict
 from itertools import product
@@ -8,9 +10,11 @@ import numpy as np
 import public_tokenizers as P
 import pyarrow as pa
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from barloom.llm import packing as K
+from barloom.llm import word_tokens as W
 from barloom.llm.word_tokens import WordTokenizer
 
 PATH = P.path(K.VOCABULARY)
@@ -33,6 +37,69 @@ def test_ids_equal_library():
         assert ids[at[k] : at[k + 1]].tolist() == ids_of(t), t and t[:50]
 
 
+def odd_words(n, alphabet, seed):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(alphabet, k=rng.randint(1, 12))) for _ in range(n)]
+
+
+def test_pieces_equal_pattern():
+    """Words of plain characters, in all orders of apostrophes, marks, digits and letters, also where one word meets the next."""
+    alphabet = [*"'" * 4, *"sStTrReEvVmMlLdD", *"aZ09.-~!", *"¿ÀÖØÞßàöøÿĀāĮį"]
+    texts = ["'", "s", "'s", "'l", "l", "'r", "e", "'" * 2 + "s", "'s's", "'S'RE'll", "'vé", "¿'s", "x'¿"] + odd_words(4_000, alphabet, 5)
+    raw = [t.encode() for t in texts]
+    ends = np.cumsum([len(b) for b in raw])
+    data, begin = np.frombuffer(b"".join(raw), np.uint8), ends - [len(b) for b in raw]
+    assert W._are_plain(data, begin, ends).all()
+    low, first, last, of_word = W._pieces(data, begin, ends)
+    got = [bytes(low[a:b]).decode() for a, b in zip(first, last)]
+    find = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
+    for k, t in enumerate(texts):
+        assert got[of_word[k] : of_word[k + 1]] == find(t.lower()), t
+
+
+def test_plain_characters():
+    """Every character up to U+0250 and some beyond: plain or left to the library."""
+    chars = [chr(c) for c in [*range(0x21, 0x250), 0x300, 0x4E2D, 0xFB01, 0x1F600]]
+    raw = [f"a{c}b".encode() for c in chars]
+    ends = np.cumsum([len(b) for b in raw])
+    plain = W._are_plain(np.frombuffer(b"".join(raw), np.uint8), ends - [len(b) for b in raw], ends)
+    assert [c for c, p in zip(chars, plain) if p] == [c for c in chars if regex.fullmatch(r"[\x21-\x7e¿-ÖØ-öø-į]", c)]
+
+
+@pytest.mark.parametrize("alphabet", ["'sStrRevVmlLdaZ09.-~¿ÀÖßàÿĀį", "aé中\u0301Σς'sß½\x7f😀"])
+def test_odd_words_equal_library(alphabet):
+    words = odd_words(3_000, alphabet, 7)
+    texts = [" ".join(words[k : k + 50]) for k in range(0, len(words), 50)]
+    tok = WordTokenizer(PATH)
+    for _ in range(2):  # learned, then remembered
+        ids, at = tok.encode(pa.array(texts), K.END)
+        for k, t in enumerate(texts):
+            assert ids[at[k] : at[k + 1]].tolist() == ids_of(t), t
+
+
+def test_bytes_that_are_no_text():
+    for b in (b"a\xc3", b"\xa9a", b"a\xc4b", b"a\xff"):
+        with pytest.raises(UnicodeDecodeError):
+            WordTokenizer(PATH).encode(pa.array([b]))
+
+
+def test_new_words_cost_no_python_calls():
+    """New words are handled side by side: fewer calls than words (the time of a large corpus of rare words)."""
+    words = sorted(set(odd_words(20_000, "abcdeéñôüß.'", 9)))
+    text, tok, calls = pa.array([" ".join(words)]), WordTokenizer(PATH), 0
+
+    def count(_, event, __):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        tok.encode(text, K.END)
+    finally:
+        sys.setprofile(None)
+    assert len(words) > 15_000 > 2 * calls
+
+
 def check_packing(rows, got, size=K.SIZE):
     want = defaultdict(list)
     for i, t in rows:
