@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.operators import boosted as BO
 from barloom.session import cut_lineage, new_path
 
 
@@ -210,7 +211,8 @@ def pooled_walk_forward(
     Only the list of block starts comes to the driver. Each block's scores are written once when
     its model is fitted, and the result reads them, so the plan does not grow with the number of
     blocks. A last fit on all labelled rows scores the latest date. Adds ``prob``, ``role`` and
-    ``model``.
+    ``model``. Blocks of ``boosted`` are fitted side by side unless a task cannot hold the labelled
+    rows; then, and for the other models, one after the other.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
@@ -219,6 +221,8 @@ def pooled_walk_forward(
     labelled = rows.filter(F.col(label).isNotNull())
     dates = [r[0] for r in labelled.select("date").distinct().orderBy("date").collect()]
     starts = dates[min_train_dates::every]
+    if model == "boosted" and labelled.count() <= BO.ROWS:
+        return BO.expanding_boosted(rows, features, categories, label, starts, rows.agg(F.max("date")).first()[0])
     edges = [*starts, None]
     since = sorted(r[0] for r in labelled.groupBy(label).agg(F.min("date")).select("min(date)").collect())  # of each class
     schema = T.StructType([*rows.schema, T.StructField("prob", T.DoubleType()), T.StructField("role", T.StringType()), T.StructField("model", T.StringType())])
